@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from termloom.sources.tables import table
 
-from . import bpe, cooccur, near_dup, term_counts, terms
+from . import bpe, canonical, confusables, cooccur, near_dup, term_counts, terms
 
 P1_COMMON = {"key_skills": 0.1, "skill": 0.5}
 P5 = {"min_count": 3, "min_share": 0.001, "min_lift": 8}
@@ -28,6 +28,15 @@ def p1_counts(spark: SparkSession, base: str) -> DataFrame:
     return term_counts.term_counts(_values(spark, base), P1_COMMON)
 
 
+def p2_found(spark: SparkSession, base: str) -> DataFrame:
+    values = _values(spark, base)
+    return canonical.mapped_values(values, canonical.map_values(values, table(spark, base, "skills_whitelist")))
+
+
+def p2_unmatched(spark: SparkSession, base: str) -> DataFrame:
+    return canonical.map_values(_values(spark, base), table(spark, base, "skills_whitelist")).where("canonical is null").select("raw_value")
+
+
 def p3_found(spark: SparkSession, base: str) -> DataFrame:
     return near_dup.near_duplicate_pairs(table(spark, base, "vacancy"), "id", **P3)
 
@@ -36,6 +45,13 @@ def p3_groups(spark: SparkSession, base: str) -> DataFrame:
     return near_dup.near_duplicate_groups(table(spark, base, "vacancy"), "id", **P3)
 
 
+def p4_found(spark: SparkSession, base: str) -> DataFrame:
+    vacancy = table(spark, base, "vacancy")
+    values = terms.array_values(vacancy, "key_skills", "id", "key_skills").unionByName(terms.column_values(vacancy, "name", "id", "name"))
+    clean = confusables.clean_values(values)
+    return clean.select("field_name", F.col("rec_id").alias("vacancy_id"), "clean_value").distinct()
+
+
 def _baskets(spark: SparkSession, base: str) -> DataFrame:
     values = terms.array_values(table(spark, base, "vacancy"), "key_skills", "id", "key_skills")
     return values.select("rec_id", terms.term(F.col("raw_value")).alias("item"))
@@ -55,7 +71,7 @@ def p6_ids(spark: SparkSession, base: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_counts, p3_found, p3_groups, p5_found, p5_pairs, p6_ids)}
+    return {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_unmatched, p3_found, p3_groups, p4_found, p5_found, p5_pairs, p6_ids)}
 
 
 def oracle_sql() -> dict[str, str]:
