@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termloom.session import checkpointed
 from termloom.sources.tables import table
 
-from . import bpe, canonical, confusables, cooccur, near_dup, term_counts, terms
+from . import bpe, canonical, confusables, content, cooccur, mixing, near_dup, term_counts, terms
 
 P1_COMMON = {"key_skills": 0.1, "skill": 0.5}
 P5 = {"min_count": 3, "min_share": 0.001, "min_lift": 8}
@@ -70,8 +71,38 @@ def p6_ids(spark: SparkSession, base: str) -> DataFrame:
     return bpe.encode(table(spark, base, "documents"))
 
 
+def _mix_plan(spark: SparkSession, base: str) -> DataFrame:
+    return mixing.plan_mix(table(spark, base, "documents"), table(spark, base, "mix_targets"))
+
+
+def p7_mix(spark: SparkSession, base: str) -> DataFrame:
+    plan = checkpointed(_mix_plan(spark, base))
+    return mixing.mix(table(spark, base, "documents").select("doc_id", "source", "text"), plan)
+
+
+def p7_shares(spark: SparkSession, base: str) -> DataFrame:
+    return _mix_plan(spark, base)
+
+
+def _scored(spark: SparkSession, base: str) -> DataFrame:
+    docs = table(spark, base, "documents").select("doc_id", "source", "text")
+    return content.score_documents(docs, content.train(table(spark, base, "content_examples"), docs))
+
+
+def p8_found(spark: SparkSession, base: str) -> DataFrame:
+    return _scored(spark, base).where("offends").select("doc_id")
+
+
+def p8_scores(spark: SparkSession, base: str) -> DataFrame:
+    return _scored(spark, base)
+
+
+def p8_rates(spark: SparkSession, base: str) -> DataFrame:
+    return content.rates(_scored(spark, base))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_unmatched, p3_found, p3_groups, p4_found, p5_found, p5_pairs, p6_ids)}
+    return {f.__name__: f for f in (p1_found, p1_counts, p2_found, p2_unmatched, p3_found, p3_groups, p4_found, p5_found, p5_pairs, p6_ids, p7_mix, p7_shares, p8_found, p8_scores, p8_rates)}
 
 
 def oracle_sql() -> dict[str, str]:
