@@ -15,6 +15,7 @@ from html.parser import HTMLParser
 import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Where records without an address of their own are looked up; callers pass their site's.
 BASE_URL = "https://vacancies.example/vacancy/"
@@ -22,8 +23,9 @@ BASE_URL = "https://vacancies.example/vacancy/"
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: The attribute values by which a page marks its parts.
 RESULT_TITLE, PAGE_TITLE, PAGE_TEXT = "serp-item__title", "vacancy-title", "vacancy-description"
-LISTING = "array<struct<id:string,name:string,alternate_url:string>>"
-DETAIL = "struct<name:string,description:string,key_skills:array<struct<name:string>>>"
+_TEXT = T.StringType()
+LISTING = T.ArrayType(T.StructType([T.StructField(c, _TEXT) for c in ("id", "name", "alternate_url")]))
+DETAIL = T.StructType([T.StructField("name", _TEXT), T.StructField("description", _TEXT), T.StructField("key_skills", T.ArrayType(T.StructType([T.StructField("name", _TEXT)])))])
 
 
 class _Parts(HTMLParser):
@@ -170,7 +172,7 @@ def detail_record(page: str | None, listed_name: str | None = None) -> dict:
     return {"name": title, "description": description, "key_skills": [{"name": x} for x in embedded_skills(page)]}
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(_TEXT)
 def html_text(pages: pd.Series) -> pd.Series:
     """Arrow UDF of ``glued_text``."""
     return pages.map(glued_text)

@@ -13,6 +13,7 @@ from collections.abc import Callable, Iterable
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from termloom.functions.dictionary import Matcher
 from termloom.functions.html import html_text
@@ -59,7 +60,7 @@ def skills_in_text(col: Column, dictionary: dict[str, str] | Iterable[str]) -> C
     """array<string>: canonical skills found in a text, longest alias first; empty for null and empty texts (Arrow UDF)."""
     matcher, made = Matcher.of(dictionary), []
 
-    @F.pandas_udf("array<string>")
+    @F.pandas_udf(T.ArrayType(T.StringType()))
     def run(texts: pd.Series) -> pd.Series:
         if not made:
             made.append(compile_matcher(matcher))
@@ -93,7 +94,7 @@ def key_skill_names(col: Column) -> Column:
 
 def unique_skills(col: Column) -> Column:
     """Normalised names, blank and null ones out, each once, in the order of first appearance."""
-    return F.array_distinct(F.filter(F.transform(col, normalize_term), lambda x: x.isNotNull() & (x != "")))
+    return F.array_distinct(F.filter(F.transform(col, lambda x: normalize_term(x)), lambda x: x.isNotNull() & (x != "")))
 
 
 def description_skills(description: Column, dictionary: dict[str, str] | Iterable[str]) -> Column:
