@@ -44,14 +44,16 @@ CYRILLIC, LATIN = regex.compile(r"\p{Cyrillic}"), regex.compile(r"\p{Latin}")
 
 
 def undecorated(text: str) -> str:
-    """The text without list marks, surrounding quotation marks and phrases about the level; never empty for that."""
-    while True:
+    """The text without list marks, surrounding quotation marks and phrases about the level; never empty for that.
+    A text of more than 500 characters is no decorated name and stays as it is."""
+    while len(text) <= 500:
         s = DECORATION.sub("", text, count=1).strip()
         if len(s) > 2 and (s[0], s[-1]) in QUOTES:
             s = s[1:-1].strip()
         if s == text or not s:
-            return text
+            break
         text = s
+    return text
 
 
 def fold(text: str) -> str:
@@ -87,10 +89,14 @@ def letter_pairs(folded: str) -> list[str]:
 
 def distance(a: str, b: str, most: int) -> int:
     """Edits (insert, delete, replace, swap of neighbours) from a to b; ``most`` + 1 where there are more."""
-    while a and b and a[0] == b[0]:
-        a, b = a[1:], b[1:]
-    while a and b and a[-1] == b[-1]:
-        a, b = a[:-1], b[:-1]
+    k, n = 0, min(len(a), len(b))
+    while k < n and a[k] == b[k]:
+        k += 1
+    a, b = a[k:], b[k:]
+    k, n = 0, min(len(a), len(b))
+    while k < n and a[-1 - k] == b[-1 - k]:
+        k += 1
+    a, b = a[: len(a) - k], b[: len(b) - k]
     if abs(len(a) - len(b)) > most:
         return most + 1
     if not a or not b:

@@ -82,12 +82,13 @@ class Words:
                 line = tuple(line.replace("ё", "е").split())
                 self.phrases.setdefault(max(line, key=len), []).append((mark, line))
         self.phrase_stems = {k[:-1] for k in self.phrases if k.endswith("*")}
+        self.longest = max(map(len, (*self.stems, *self.phrase_stems)))
         self.info: dict[str, tuple[frozenset[str], tuple]] = {}
         self.seen: dict[str, tuple[str, ...]] = {}
 
     def tags(self, word: str) -> set[str]:
         found = set(self.exact.get(word, ()))
-        for n in range(3, len(word) + 1):
+        for n in range(3, min(len(word), self.longest) + 1):
             if x := self.stems.get(word[:n]):
                 found |= x
         return found
@@ -99,7 +100,7 @@ class Words:
             if len(self.info) > 400_000:
                 self.info.clear()
             lines = [*self.phrases.get(word, ())]
-            for n in range(3, len(word) + 1):
+            for n in range(3, min(len(word), self.longest) + 1):
                 if word[:n] in self.phrase_stems:
                     lines += self.phrases[word[:n] + "*"]
             got = self.info[word] = frozenset(self.tags(word)), tuple(lines)
@@ -141,9 +142,11 @@ class Words:
         """The words of a chunk of non-space characters, lower-cased and undisguised."""
         got = self.seen.get(chunk)
         if got is None:
-            if len(self.seen) > 400_000:
-                self.seen.clear()
-            got = self.seen[chunk] = self._read(chunk)
+            got = self._read(chunk)
+            if len(chunk) <= 100:
+                if len(self.seen) > 400_000:
+                    self.seen.clear()
+                self.seen[chunk] = got
         return got
 
     def _read(self, chunk: str) -> tuple[str, ...]:

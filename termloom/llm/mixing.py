@@ -88,10 +88,10 @@ def mix(docs: DataFrame, plan: DataFrame, id_col: str = "doc_id", text_col: str
     """The mixture: the rows of ``docs`` as often as ``plan`` takes them, with ``copy`` (1, 2, ...); map-only.
 
     ``plan`` has a row a listed source."""
-    cuts = F.broadcast(plan.where("taken_tokens > 0").select(F.col("source").alias("__source"), "epochs", "cut_key", "cut_id"))
+    cuts = F.broadcast(plan.where("taken_tokens > 0").select(*[F.col(c).alias(f"__{c}") for c in ("source", "epochs", "cut_key", "cut_id")]))
     key, rec = _key(id_col, seed), F.col(id_col).cast("string")
-    within = (key < F.col("cut_key")) | (key == F.col("cut_key")) & (F.col("cut_id").isNull() | (rec <= F.col("cut_id")))
-    times = F.col("epochs") + F.when(F.coalesce(within, F.lit(False)), 1).otherwise(0)
+    within = (key < F.col("__cut_key")) | (key == F.col("__cut_key")) & (F.col("__cut_id").isNull() | (rec <= F.col("__cut_id")))
+    times = F.col("__epochs") + F.when(F.coalesce(within, F.lit(False)), 1).otherwise(0)
     rows = docs.where(F.col(id_col).isNotNull() & (F.length(text_col) > 0)).join(cuts, docs["source"] == F.col("__source"))
     rows = rows.withColumn("__n", times).where("__n > 0")
     return rows.select(*[docs[c] for c in docs.columns if c != "copy"], F.explode(F.sequence(F.lit(1), F.col("__n"))).alias("copy"))

@@ -25,7 +25,9 @@ from pyspark.sql import functions as F
 
 from termloom.session import checkpointed
 
-TAG = regex.compile(r"<!--.*?-->|<(?:script|style)\b[^>]*>.*?</(?:script|style)\s*>|<[^>]*>", regex.S | regex.I)
+TAG = regex.compile(r"<[^<>]*>")
+#: What stands between these marks is no text.
+HIDDEN = (("<!--", "-->"), ("<script", "</script"), ("<style", "</style"))
 WORD = regex.compile(r"[\p{L}\p{N}]+")
 #: MinHash values a text may cost.
 MAX_HASHES = 1200
@@ -47,12 +49,26 @@ def plan_bands(threshold: float, recall: float, max_hashes: int = MAX_HASHES) ->
     return best
 
 
+def _shown(text: str) -> str:
+    """The text without comments, scripts and styles; in one pass for each kind."""
+    for start, end in HIDDEN:
+        low = text.lower()
+        if start not in low or len(low) != len(text):
+            continue
+        out, at = [], 0
+        while (i := low.find(start, at)) >= 0 and (j := low.find(end, i)) >= 0:
+            out += [text[at:i], " "]
+            at = j + len(end)
+        text = "".join(out) + text[at:]
+    return text
+
+
 def words(text: str | None) -> list[str]:
     """Runs of letters or digits, lower-cased; mark-up is a space, entities are decoded."""
     if not text:
         return []
     if "<" in text:
-        text = TAG.sub(" ", text)
+        text = TAG.sub(" ", _shown(text))
     if "&" in text:
         text = html.unescape(text)
     return WORD.findall(text.lower())
