@@ -197,4 +197,4 @@ def map_values(values: DataFrame, reference: DataFrame, alias: str = "alias", ca
 def mapped_values(values: DataFrame, mapping: DataFrame) -> DataFrame:
     """(field_name, rec_id, raw_value, canonical): the records of the values that ``map_values`` matched; distinct."""
     own = mapping.where(F.col("canonical").isNotNull()).select("raw_value", "canonical")
-    return values.where(F.col("rec_id").isNotNull()).join(own, "raw_value").select("field_name", "rec_id", "raw_value", "canonical").distinct()
+    return values.where(F.col("rec_id").isNotNull()).select("field_name", "rec_id", "raw_value").join(own, "raw_value").select("field_name", "rec_id", "raw_value", "canonical").distinct()

@@ -178,9 +178,15 @@ def _deletions(word: str) -> set[str]:
 _GROUPS = frozenset(x.replace("ё", "е") for x in lexicon.GROUPS)
 
 
+def _joined(m: re.Match) -> str:
+    """Spaced out letters as a word; where the first may be a word of its own, without it too."""
+    word = m[0].replace(" ", "").replace("\u00a0", "")
+    return f"{word} {word[1:]}" if word[0].lower() in "aiавикосуя" else word
+
+
 def sentences(text: str) -> list[str]:
     if SPACED.search(text):
-        text = SPACED.sub(lambda m: m[0].replace(" ", "").replace("\u00a0", ""), text)
+        text = SPACED.sub(_joined, text)
     return [s for s in SENTENCE.split(text) if s]
 
 

@@ -55,11 +55,11 @@ def plan_mix(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_c
     goal = wanted.join(own, "source", "left").withColumn("n_tokens", F.coalesce("n_tokens", F.lit(0))).withColumn("n_docs", F.coalesce("n_docs", F.lit(0)))
     able = (F.col("n_tokens") > 0) & (F.col("target_share") > 0) & (F.col("max_repeats") > 0)
     all_ = Window.partitionBy(F.lit(0))  # a row a listed source
-    goal = goal.withColumn("share", F.when(able, F.col("target_share")).otherwise(0.0) / F.sum(F.when(able, F.col("target_share")).otherwise(0.0)).over(all_))
-    largest = F.min(F.when(able, F.col("n_tokens") * F.col("max_repeats") / F.col("share"))).over(all_)
+    goal = goal.withColumn("share", F.when(able, F.col("target_share")).otherwise(0.0) / F.nullif(F.sum(F.when(able, F.col("target_share")).otherwise(0.0)).over(all_), F.lit(0.0)))
+    largest = F.min(F.when(able, F.col("n_tokens") * F.col("max_repeats") / F.nullif("share", F.lit(0.0)))).over(all_)
     goal = goal.withColumn("total", F.coalesce(F.lit(total_tokens).cast("double") if total_tokens is not None else largest, F.lit(0.0)))
     goal = goal.withColumn("budget", F.least(F.floor(F.coalesce(F.col("total") * F.col("share"), F.lit(0.0)) + 1e-6), F.col("n_tokens") * F.col("max_repeats")).cast("long"))
-    goal = goal.withColumn("epochs", F.when(F.col("n_tokens") > 0, F.floor(F.col("budget") / F.col("n_tokens"))).otherwise(0).cast("int"))
+    goal = goal.withColumn("epochs", F.when(F.col("n_tokens") > 0, F.floor(F.col("budget") / F.nullif("n_tokens", F.lit(0)))).otherwise(0).cast("int"))
     goal = goal.withColumn("rest", F.col("budget") - F.col("epochs") * F.col("n_tokens"))
 
     # only the range in which the budget is reached is looked into: the sums before it are known
@@ -75,7 +75,7 @@ def plan_mix(docs: DataFrame, targets: DataFrame, id_col: str = "doc_id", text_c
     out = goal.join(edge, "source", "left").join(cut, "source", "left")
     out = out.withColumn("part_tokens", F.coalesce("c.upto", "tokens_before", F.lit(0))).withColumn("part_docs", F.coalesce("c.docs_upto", "docs_before", F.lit(0)))
     out = out.withColumn("taken_tokens", F.col("epochs") * F.col("n_tokens") + F.col("part_tokens")).withColumn("taken_docs", F.col("epochs") * F.col("n_docs") + F.col("part_docs"))
-    share = F.col("taken_tokens") / F.sum("taken_tokens").over(all_)
+    share = F.col("taken_tokens") / F.nullif(F.sum("taken_tokens").over(all_), F.lit(0))
     return out.select(
         "source", "target_share", "max_repeats", "n_docs", "n_tokens", "budget", "epochs",
         F.when(F.col("part_tokens") > 0, F.coalesce("c.key", "edge")).alias("cut_key"), F.when(F.col("part_tokens") > 0, F.col("c.id")).alias("cut_id"),
