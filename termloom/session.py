@@ -24,6 +24,13 @@ def build_session(app: str = "termloom", master: str | None = None, **conf: str)
     return b.getOrCreate()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over as many tasks as shuffles have, for work that is large against its bytes: adaptive execution merges
+    partitions by their bytes alone and leaves these as they are."""
+    spark = df.sparkSession
+    return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows of ``df``, written once to the checkpoint folder that all executors share, so that a lost executor costs
     no recomputation and two readers cost one run.
