@@ -19,6 +19,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from termloom.session import checkpointed, spread
+
 from .confusables import plain
 from .set_join import similar_sets
 from .terms import term
@@ -168,8 +170,9 @@ def map_values(values: DataFrame, reference: DataFrame, alias: str = "alias", ca
     known = reference.select(term(F.col(alias)).alias("entry"), F.col(canonical).alias("canonical")).where("entry is not null and canonical is not null").distinct()
     typed = values.select("raw_value").where(F.col("raw_value").isNotNull()).distinct().withColumn("term", term(F.col("raw_value"))).where("term is not null")
     typed = typed.join(known.select(F.col("entry").alias("term")), "term", "left_anti").select("raw_value")
-    read = typed.mapInArrow(lambda it: _read(it, True), _READ)
-    entries = known.select("entry").distinct().mapInArrow(lambda it: _read(it, False), _READ)
+    # written down, as each is read three times; spread, as few bytes are much work here
+    read = checkpointed(spread(typed).mapInArrow(lambda it: _read(it, True), _READ))
+    entries = checkpointed(known.select("entry").distinct().mapInArrow(lambda it: _read(it, False), _READ))
     one = lambda df: df.groupBy(F.col("folded").alias("id")).agg(F.first("tokens").alias("tokens"))
     similar = similar_sets(one(read), one(entries), similarity)
     # an edit touches at most three pairs on either side, an abbreviation has a full stop
@@ -186,7 +189,7 @@ def map_values(values: DataFrame, reference: DataFrame, alias: str = "alias", ca
             d = pa.array([difference(r, e) for r, e in zip(b.column(1).to_pylist(), b.column(2).to_pylist())], pa.int32())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), d], names=["raw_value", "entry", "similarity", "edits"]).filter(d.is_valid())
 
-    good = pairs.mapInArrow(judge, "raw_value string, entry string, similarity double, edits int").join(known, "entry")
+    good = spread(pairs).mapInArrow(judge, "raw_value string, entry string, similarity double, edits int").join(known, "entry")
     rank = F.struct("edits", (-F.round("similarity", 6)).alias("s"))
     best = good.groupBy("raw_value", "canonical").agg(F.min(rank).alias("rank")).groupBy("raw_value").agg(F.min(F.struct("rank", "canonical")).alias("x"), F.collect_list(F.struct("rank", "canonical")).alias("all"))
     clear = F.size(F.filter("all", lambda y: y.rank == F.col("x.rank"))) == 1  # "all": the entries near one value

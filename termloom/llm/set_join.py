@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from termloom.session import checkpointed
+
 
 def similar_sets(left: DataFrame, right: DataFrame, threshold: float) -> DataFrame:
     """(left_id, right_id, n_left, n_right, similarity) of every pair with Jaccard similarity >= ``threshold``; exact.
@@ -16,19 +18,21 @@ def similar_sets(left: DataFrame, right: DataFrame, threshold: float) -> DataFra
     long = both.select("side", "id", F.explode(F.array_distinct("tokens")).alias("token"))
     uses = long.groupBy("token").agg(F.count("*").alias("uses"))
     ordered = long.join(uses, "token").groupBy("side", "id").agg(F.sort_array(F.collect_list(F.struct("uses", "token"))).alias("t"))
-    ordered = ordered.select("side", "id", F.transform("t", lambda x: x.token).alias("tokens")).withColumn("n", F.size("tokens"))
+    ordered = checkpointed(ordered.select("side", "id", F.transform("t", lambda x: x.token).alias("tokens")).withColumn("n", F.size("tokens")))
     least = F.ceil(F.col("n") * threshold - 1e-9).cast("int")
-    prefix = ordered.select("side", "id", "n", "tokens", F.posexplode(F.slice("tokens", F.lit(1), F.col("n") - least + 1)).alias("pos", "token"))
+    prefix = ordered.select("side", "id", "n", F.posexplode(F.slice("tokens", F.lit(1), F.col("n") - least + 1)).alias("pos", "token"))
 
     def of(side: int, name: str) -> DataFrame:
-        return prefix.where(F.col("side") == side).select("token", *[F.col(c).alias(f"{name}_{c}") for c in ("id", "n", "pos", "tokens")])
+        return prefix.where(F.col("side") == side).select("token", *[F.col(c).alias(f"{name}_{c}") for c in ("id", "n", "pos")])
 
     n = F.col("l_n") + F.col("r_n")
     fits: Column = (F.least("l_n", "r_n") >= threshold * F.greatest("l_n", "r_n") - 1e-9) & (
         1 + F.least(F.col("l_n") - F.col("l_pos"), F.col("r_n") - F.col("r_pos")) - 1 >= threshold / (1 + threshold) * n - 1e-9
     )
     # the position filter holds for the first common token of a pair; a pair it wants is found by that one
-    pairs = of(0, "l").join(of(1, "r"), "token").where(fits).dropDuplicates(["l_id", "r_id"])
+    pairs = of(0, "l").join(of(1, "r"), "token").where(fits).select("l_id", "r_id", "l_n", "r_n").distinct()
+    for side, name in ((0, "l"), (1, "r")):
+        pairs = pairs.join(ordered.where(F.col("side") == side).select(F.col("id").alias(f"{name}_id"), F.col("tokens").alias(f"{name}_tokens")), f"{name}_id")
     common = F.size(F.array_intersect("l_tokens", "r_tokens"))
     found = pairs.select(F.col("l_id").alias("left_id"), F.col("r_id").alias("right_id"), F.col("l_n").alias("n_left"), F.col("r_n").alias("n_right"), (common / (n - common)).alias("similarity"))
     return found.where(F.col("similarity") >= threshold - 1e-9)
