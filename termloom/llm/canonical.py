@@ -141,12 +141,29 @@ def difference(reading: str, entry: str) -> int | None:
             return 1
     if [c for c in a if c.isdigit()] != [c for c in b if c.isdigit()]:
         return None
-    most = allowed(len(b.replace(" ", "")))
+    most = allowed(sum(map(str.isalnum, entry)))
     if not most:
         return None
-    forms = ((a, b), (reading, entry), (a.replace(" ", ""), b.replace(" ", "")), (" ".join(wa), " ".join(wb)))
-    d = min(distance(x, y, most) for x, y in forms)
-    return 1 + d if d <= most else None
+    forms = ((a, b), (" ".join(WORDS.findall(reading)), " ".join(WORDS.findall(entry))), (" ".join(wa), " ".join(wb)))
+    found = [d for x, y in forms if (d := _distance_by_word(x.split(), y.split(), most)) is not None]
+    if not found:  # words that were run together or torn apart
+        d = distance(a.replace(" ", ""), b.replace(" ", ""), min(most, 2))
+        found = [d] if d <= min(most, 2) and len(a.split()) != len(b.split()) else []
+    return 1 + min(found) if found else None
+
+
+def _distance_by_word(a: list[str], b: list[str], most: int) -> int | None:
+    """The edits between texts of as many words, none with more than a typing error or two; another word is no error."""
+    if len(a) != len(b):
+        return None
+    total = 0
+    for x, y in zip(a, b):
+        own = 1 if len(y) < 8 else 2
+        d = distance(x, y, own)
+        total += d
+        if d > own or total > most:
+            return None
+    return total
 
 
 _READ = "raw_value string, reading string, folded string, tokens array<string>"
