@@ -52,9 +52,11 @@ def until_empty_page(pages: DataFrame) -> DataFrame:
     return pages.withColumn("__stop", stop).where(F.col("__stop").isNull() | (F.col("page") < F.col("__stop"))).drop("__stop")
 
 
-def latest_details(details: DataFrame) -> DataFrame:
-    """One detail row an id: a structured one before one of a page, then the last fetched; ties by the smallest content."""
-    content = sorted(c for c, k in details.dtypes if c not in ("id", "_source", "fetched_at") and not k.startswith("map"))
+def latest_details(details: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """One detail row an id: a structured one before one of a page, then the last fetched; ties by the smallest content.
+
+    ``columns`` are those wanted beside id, _source and fetched_at: only they are read and moved."""
+    content = sorted(c for c, k in details.dtypes if c not in ("id", "_source", "fetched_at") and not k.startswith("map") and (columns is None or c in columns))
     best = F.struct((F.col("_source") == "html").alias("h"), (-F.coalesce(F.unix_micros(F.col("fetched_at").cast("timestamp")), F.lit(0))).alias("f"), *content, "_source", "fetched_at")
     rows = details.where(F.col("id").isNotNull()).groupBy("id").agg(F.min(best).alias("r"))
     return rows.select(*[F.col("id") if c == "id" else F.col(f"r.{c}").alias(c) for c in details.columns if c == "id" or c in (*content, "_source", "fetched_at")])

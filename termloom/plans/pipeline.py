@@ -31,9 +31,10 @@ def skills_of(rows: DataFrame, details: DataFrame, dictionary: dict[str, str], m
     """(id, query_ord, pos, skills) of the rows that have a detail record; records without skills have an empty array.
 
     Texts are searched only where a record's mode asks for it."""
-    own = details.select("id", "description", "key_skills", "_source")
+    described_too = mode != "key-skills" or html_fallback
+    own = details.select("id", *(["description"] if described_too else []), "key_skills", "_source")
     looked_up = rows.select("id", "query_ord", "pos").join(own, "id").withColumn("mode", extract.effective_mode(mode, F.col("_source"), html_fallback))
-    if mode == "key-skills" and not html_fallback:
+    if not described_too:
         described = F.array().cast("array<string>")
     else:
         described = extract.skills_in_text(html_text(F.when(F.col("mode") != "key-skills", F.col("description"))), dictionary)
@@ -44,5 +45,6 @@ def run(spark: SparkSession, base: str, mode: str = "key-skills", html_fallback:
     """(rank, skill, count, first_seen) over the tables in ``base``."""
     dictionary = collect_dictionary(table(spark, base, "skills_whitelist"))
     rows = selected(table(spark, base, "listings"), table(spark, base, "search_queries"), processed, limit)
-    details = listing.latest_details(table(spark, base, "vacancy"))
+    wanted = ["key_skills"] if mode == "key-skills" and not html_fallback else ["key_skills", "description"]
+    details = listing.latest_details(table(spark, base, "vacancy"), wanted)
     return counts.ranked(counts.skill_counts(skills_of(rows, details, dictionary, mode, html_fallback)))

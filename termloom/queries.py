@@ -72,8 +72,8 @@ def _queries(spark: SparkSession, base: str) -> DataFrame:
     return table(spark, base, "search_queries")
 
 
-def _latest(spark: SparkSession, base: str) -> DataFrame:
-    return listing.latest_details(table(spark, base, "vacancy"))
+def _latest(spark: SparkSession, base: str, *columns: str) -> DataFrame:
+    return listing.latest_details(table(spark, base, "vacancy"), [*columns])
 
 
 def _place(skills: DataFrame, key: str) -> DataFrame:
@@ -103,7 +103,7 @@ def skill_freq_by_lang(spark: SparkSession, base: str) -> DataFrame:
 
 @query(f"WITH RECURSIVE {_LATEST}, plain AS (SELECT id, {_PLAIN('description')} AS d FROM latest), {_extracted('plain', 'id', 'd')} SELECT k AS id, row_number() OVER (PARTITION BY k ORDER BY step)::BIGINT AS place, skill FROM found")
 def description_skills(spark: SparkSession, base: str) -> DataFrame:
-    rows = _latest(spark, base).select("id", extract.description_skills(F.col("description"), _dictionary(spark, base)).alias("skills"))
+    rows = _latest(spark, base, "description").select("id", extract.description_skills(F.col("description"), _dictionary(spark, base)).alias("skills"))
     return _place(rows, "id")
 
 
@@ -113,7 +113,7 @@ def description_skills(spark: SparkSession, base: str) -> DataFrame:
     SELECT id, row_number() OVER (PARTITION BY id ORDER BY o)::BIGINT AS place, skill FROM merged"""
 )
 def both_mode_merge(spark: SparkSession, base: str) -> DataFrame:
-    rows = _latest(spark, base)
+    rows = _latest(spark, base, "description", "key_skills")
     described = extract.description_skills(F.col("description"), _dictionary(spark, base))
     rows = rows.withColumn("described", described)
     return _place(rows.select("id", extract.record_skills(F.lit("both"), F.col("key_skills"), F.col("described")).alias("skills")), "id")
@@ -121,13 +121,13 @@ def both_mode_merge(spark: SparkSession, base: str) -> DataFrame:
 
 @query(f"WITH {_LATEST}, {_NAMES('latest')} SELECT id, row_number() OVER (PARTITION BY id ORDER BY p)::BIGINT AS place, skill FROM names")
 def key_skills_dedup(spark: SparkSession, base: str) -> DataFrame:
-    rows = _latest(spark, base).select("id", extract.unique_skills(extract.key_skill_names(F.col("key_skills"))).alias("skills"))
+    rows = _latest(spark, base, "key_skills").select("id", extract.unique_skills(extract.key_skill_names(F.col("key_skills"))).alias("skills"))
     return _place(rows, "id")
 
 
 @query(f"WITH {_LATEST}, {_NAMES('latest')} SELECT skill, count(*)::BIGINT AS n FROM names GROUP BY skill")
 def key_skills_freq(spark: SparkSession, base: str) -> DataFrame:
-    rows = _latest(spark, base).select(F.explode(extract.unique_skills(extract.key_skill_names(F.col("key_skills")))).alias("skill"))
+    rows = _latest(spark, base, "key_skills").select(F.explode(extract.unique_skills(extract.key_skill_names(F.col("key_skills")))).alias("skill"))
     return rows.groupBy("skill").agg(F.count("*").alias("n"))
 
 
@@ -160,7 +160,7 @@ def processed_anti_join(spark: SparkSession, base: str) -> DataFrame:
 @query(f"WITH {_SELECTED}, {_LATEST} SELECT s.id, s.query_ord, s.pos, v.area, v._source AS detail_source FROM selected s JOIN latest v ON s.id = v.id")
 def detail_lookup_join(spark: SparkSession, base: str) -> DataFrame:
     rows = pipeline.selected(table(spark, base, "listings"), _queries(spark, base))
-    return listing.with_details(rows, _latest(spark, base)).select("id", "query_ord", "pos", "area", F.col("detail__source").alias("detail_source"))
+    return listing.with_details(rows, _latest(spark, base, "area")).select("id", "query_ord", "pos", "area", F.col("detail__source").alias("detail_source"))
 
 
 @query(
@@ -229,7 +229,7 @@ def stable_tie_order(spark: SparkSession, base: str) -> DataFrame:
 
 def _counted(spark: SparkSession, base: str) -> DataFrame:
     rows = pipeline.selected(table(spark, base, "listings"), _queries(spark, base))
-    return counts.skill_counts(pipeline.skills_of(rows, _latest(spark, base), {}, "key-skills"))
+    return counts.skill_counts(pipeline.skills_of(rows, _latest(spark, base, "key_skills"), {}, "key-skills"))
 
 
 @query(f"WITH {_RANKED} SELECT rank, skill, count FROM ranked WHERE rank <= 50")
@@ -291,12 +291,12 @@ def streaming_skill_freq(spark: SparkSession, base: str) -> DataFrame:
 
 @query(f"WITH {_LATEST} SELECT id, {_PLAIN('description')} AS text FROM latest")
 def html_text_glued(spark: SparkSession, base: str) -> DataFrame:
-    return _latest(spark, base).select("id", pages.html_text(F.col("description")).alias("text"))
+    return _latest(spark, base, "description").select("id", pages.html_text(F.col("description")).alias("text"))
 
 
 @query(f"WITH {_LATEST} SELECT id, {_PLAIN('description')} AS text FROM latest")
 def html_text_native(spark: SparkSession, base: str) -> DataFrame:
-    return _latest(spark, base).select("id", pages.text_without_tags(F.col("description")).alias("text"))
+    return _latest(spark, base, "description").select("id", pages.text_without_tags(F.col("description")).alias("text"))
 
 
 def _escaped(col: str) -> Column:
@@ -322,13 +322,13 @@ def url_id_extract(spark: SparkSession, base: str) -> DataFrame:
 @query(f"""WITH {_LATEST} SELECT id, e.name AS skill, count(*)::BIGINT AS n FROM (SELECT id, unnest(key_skills) AS e FROM latest) WHERE e.name <> '' GROUP BY 1, 2""")
 def json_key_extract(spark: SparkSession, base: str) -> DataFrame:
     page = F.concat(F.lit('<script>window.data = {"keySkills":'), F.coalesce(F.to_json("key_skills"), F.lit("null")), F.lit(',"driverLicenseTypes":[]};</script>'))
-    rows = _latest(spark, base).select("id", F.explode(pages.embedded_skill_names(page)).alias("skill"))
+    rows = _latest(spark, base, "key_skills").select("id", F.explode(pages.embedded_skill_names(page)).alias("skill"))
     return rows.groupBy("id", "skill").agg(F.count("*").alias("n"))
 
 
 @query(f"""WITH {_LATEST} SELECT id, {_STRIP('name')} AS name, {_STRIP('description')} AS description FROM latest WHERE name IS NOT NULL AND description IS NOT NULL""")
 def html_detail_page(spark: SparkSession, base: str) -> DataFrame:
-    rows = _latest(spark, base).where("name is not null and description is not null")
+    rows = _latest(spark, base, "name", "description").where("name is not null and description is not null")
     page = F.concat(F.lit('<html><h1 data-qa="vacancy-title">'), _escaped("name"), F.lit('</h1><div data-qa="vacancy-description">'), "description", F.lit("</div></html>"))
     return rows.select("id", pages.detail_of(page, F.col("name")).alias("d")).select("id", "d.name", text.strip(F.col("d.description")).alias("description"))
 
