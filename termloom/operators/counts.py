@@ -11,9 +11,15 @@ from .ordering import numbered
 def skill_counts(rows: DataFrame) -> DataFrame:
     """(skill, count, first_seen) of rows with unique ``skills``; ``first_seen`` is the place where a skill came up first.
 
-    One shuffle by skill, after partial aggregation; a skill that every record has costs a row a task."""
+    One shuffle by skill, after partial aggregation; a skill that every record has costs a row a task.  The three numbers
+    of a place (none negative) travel as one decimal, which keeps the aggregation in hash tables."""
     seen = rows.select("query_ord", "pos", F.posexplode("skills").alias("skill_pos", "skill"))
-    return seen.groupBy("skill").agg(F.count("*").alias("count"), F.min(F.struct("query_ord", "pos", "skill_pos")).alias("first_seen"))
+    digits = lambda c, n: F.col(c).cast("decimal(10,0)") * F.lit(f"1{'0' * n}").cast(f"decimal({n + 1},0)")
+    place = (digits("query_ord", 20) + digits("pos", 10) + F.col("skill_pos")).cast("decimal(38,0)")
+    counted = seen.groupBy("skill").agg(F.count("*").alias("count"), F.min(place).alias("place"))
+    text = F.lpad(F.col("place").cast("string"), 30, "0")
+    part = lambda at, name: F.substring(text, at, 10).cast("int").alias(name)
+    return counted.select("skill", "count", F.struct(part(1, "query_ord"), part(11, "pos"), part(21, "skill_pos")).alias("first_seen"))
 
 
 def resumed(counts: DataFrame, saved: DataFrame) -> DataFrame:

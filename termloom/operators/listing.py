@@ -26,15 +26,21 @@ def not_processed(rows: DataFrame, processed: DataFrame, id_col: str = "id") ->
     return rows.join(processed.select(id_col), id_col, "left_anti")
 
 
-def first_passing(rows: DataFrame, passes: Column) -> DataFrame:
+def first_passing(rows: DataFrame, passes: Column, columns: list[str] | None = None) -> DataFrame:
     """Of each id the first row, by query and position, that passes: a row that fails leaves its id to later queries.
 
     The earliest row is found by an aggregation with map-side combining, not by sorting all rows of an id.  Of rows
-    equal in query and position the one with the smallest remaining columns is taken; null ids are left out."""
+    equal in query and position the one with the smallest remaining columns is taken; null ids are left out.
+    ``columns`` are those wanted beside id, query_ord and pos.  Where that are none, both numbers (not null, not negative)
+    travel as one, which keeps the aggregation in hash tables."""
     order = ["query_ord", "pos"]
-    rest = sorted(c for c in rows.columns if c not in ("id", *order))
+    rest = sorted(c for c in rows.columns if c not in ("id", *order) and (columns is None or c in columns))
+    if not rest:
+        place = F.shiftleft(F.col("query_ord").cast("long"), 32) + F.col("pos").cast("long")
+        first = rows.where(passes & F.col("id").isNotNull()).groupBy("id").agg(F.min(place).alias("p"))
+        return first.select("id", F.shiftright("p", 32).cast("int").alias("query_ord"), F.col("p").bitwiseAND(0xFFFFFFFF).cast("int").alias("pos"))
     first = rows.where(passes & F.col("id").isNotNull()).groupBy("id").agg(F.min(F.struct(*order, *rest)).alias("r"))
-    return first.select(*[F.col("id") if c == "id" else F.col(f"r.{c}").alias(c) for c in rows.columns])
+    return first.select(*[F.col("id") if c == "id" else F.col(f"r.{c}").alias(c) for c in rows.columns if c in ("id", *order, *rest)])
 
 
 def limit_per_query(rows: DataFrame, limit: int, source: str = "html") -> DataFrame:

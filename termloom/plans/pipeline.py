@@ -16,15 +16,16 @@ from termloom.operators import counts, extract, listing
 from termloom.sources.tables import table
 
 
-def selected(listings: DataFrame, queries: DataFrame, processed: DataFrame | None = None, limit: int | None = None, source: str = "html") -> DataFrame:
+def selected(listings: DataFrame, queries: DataFrame, processed: DataFrame | None = None, limit: int | None = None, source: str = "html", columns: list[str] | None = None) -> DataFrame:
     """The listing row of each id to work on: of the queries' rows (within ``limit`` for each) those whose title matches
-    their own query, of an id the first, and no id that was processed before."""
+    their own query, of an id the first, and no id that was processed before.  ``columns`` as in
+    ``listing.first_passing``."""
     if limit is not None:
         listings = listing.limit_per_query(listings, limit, source)
     named = listings.join(queries.select("query_ord", normalize_query(F.col("query_text")).alias("query")), "query_ord")
     if processed is not None:
         named = listing.not_processed(named, processed)
-    return listing.first_passing(named, listing.title_matches(F.col("query"), F.col("name")))
+    return listing.first_passing(named, listing.title_matches(F.col("query"), F.col("name")), columns)
 
 
 def skills_of(rows: DataFrame, details: DataFrame, dictionary: dict[str, str], mode: str = "key-skills", html_fallback: bool = False) -> DataFrame:
@@ -44,7 +45,7 @@ def skills_of(rows: DataFrame, details: DataFrame, dictionary: dict[str, str], m
 def run(spark: SparkSession, base: str, mode: str = "key-skills", html_fallback: bool = False, limit: int | None = None, processed: DataFrame | None = None) -> DataFrame:
     """(rank, skill, count, first_seen) over the tables in ``base``."""
     dictionary = collect_dictionary(table(spark, base, "skills_whitelist"))
-    rows = selected(table(spark, base, "listings"), table(spark, base, "search_queries"), processed, limit)
+    rows = selected(table(spark, base, "listings"), table(spark, base, "search_queries"), processed, limit, columns=[])
     wanted = ["key_skills"] if mode == "key-skills" and not html_fallback else ["key_skills", "description"]
     details = listing.latest_details(table(spark, base, "vacancy"), wanted)
     return counts.ranked(counts.skill_counts(skills_of(rows, details, dictionary, mode, html_fallback)))

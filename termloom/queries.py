@@ -147,7 +147,7 @@ def soft_title_filter(spark: SparkSession, base: str) -> DataFrame:
 
 @query(f"WITH {_SELECTED} SELECT id, query_ord, pos FROM selected")
 def soft_filter_then_dedup(spark: SparkSession, base: str) -> DataFrame:
-    return pipeline.selected(table(spark, base, "listings"), _queries(spark, base)).select("id", "query_ord", "pos")
+    return pipeline.selected(table(spark, base, "listings"), _queries(spark, base), columns=[]).select("id", "query_ord", "pos")
 
 
 @query("SELECT query_ord, pos, id FROM listings l WHERE id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM (SELECT unnest(processed_vacancy_ids) AS i FROM run_progress) WHERE i = l.id)")
@@ -159,8 +159,8 @@ def processed_anti_join(spark: SparkSession, base: str) -> DataFrame:
 
 @query(f"WITH {_SELECTED}, {_LATEST} SELECT s.id, s.query_ord, s.pos, v.area, v._source AS detail_source FROM selected s JOIN latest v ON s.id = v.id")
 def detail_lookup_join(spark: SparkSession, base: str) -> DataFrame:
-    rows = pipeline.selected(table(spark, base, "listings"), _queries(spark, base))
-    return listing.with_details(rows, _latest(spark, base, "area")).select("id", "query_ord", "pos", "area", F.col("detail__source").alias("detail_source"))
+    rows = pipeline.selected(table(spark, base, "listings"), _queries(spark, base), columns=[])
+    return listing.with_details(rows, _latest(spark, base, "area")).select("id", "query_ord", "pos", "area", F.col("_source").alias("detail_source"))
 
 
 @query(
@@ -228,7 +228,7 @@ def stable_tie_order(spark: SparkSession, base: str) -> DataFrame:
 
 
 def _counted(spark: SparkSession, base: str) -> DataFrame:
-    rows = pipeline.selected(table(spark, base, "listings"), _queries(spark, base))
+    rows = pipeline.selected(table(spark, base, "listings"), _queries(spark, base), columns=[])
     return counts.skill_counts(pipeline.skills_of(rows, _latest(spark, base, "key_skills"), {}, "key-skills"))
 
 
