@@ -46,7 +46,7 @@ tonight singles baby babe camera cam webcam bed bedroom tongue shower lap loud b
 #: Stems that threaten, or send away, when all of a line occur in one sentence.
 THREATS = """
 shut mouth|shut up you|get lost|nobody asked you|hope you choke|hope you die|hope you rot|should rot|smash your face|break your face|punch your face|kill you|beat you up|jump off you|go jump off|nobody miss you|crawl back your|your rock crawl|waste of space|watch your back|piss off|go to hell|drop dead|kill yourself|excuse for human
-закрой рот|закрой пасть|заткни*|вали отсюда|пошёл ты|пошел ты|тебя не спрашивали|чтоб сдох|чтоб подавил*|чтоб ты|чтоб тебя|морду разоб*|морду набь*|рожу разоб*|лицо разоб*|убью тебя|прыгни никто|никто скучать|место помойк*|иди к чёрту|сдохни|повесься|прыгни с
+закрой рот|закрой пасть|заткни*|вали отсюда|пошёл ты|пошел ты|тебя не спрашивали|чтоб сдох|чтоб подавил*|чтоб ты|чтоб тебя|морду разоб*|морду набь*|рожу разоб*|лицо разоб*|убью тебя|прыгни никто|никто скучать|место помойк*|таким ты помойк*|иди к чёрту|сдохни|повесься|прыгни с
 """.strip().replace("\n", "|").split("|")
 #: Stems that show contempt for a group when all of a line occur in one sentence.
 CONTEMPT = """
