@@ -28,6 +28,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from termloom.session import checkpointed
+
 from . import lexicon
 from .canonical import distance
 from .confusables import plain, script
@@ -365,12 +367,15 @@ def _descend(x, y, d, prior, strength, balance, w, b, steps: int = 500, rate: fl
 def corpus_words(df: DataFrame, text_col: str = "text") -> tuple[frozenset[str], frozenset[str]]:
     """(common words, words that are no misspelling) of the whole corpus.
 
-    Both sets are bounded: the first by the mean number of distinct words of a record over ``COMMON_SHARE``, the second by
-    the words within one error of the lexicon."""
-    texts = df.select(F.col(text_col).alias("t")).where(F.col("t").isNotNull())
-    own = F.array_distinct(F.regexp_extract_all(F.translate(F.lower("t"), "ё", "е"), F.lit(r"(\p{L}+)")))
-    n = texts.count()
-    counts = texts.select(F.explode(own).alias("word")).groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") > max(2, n * NO_TYPO_SHARE))
+    Texts of the same words and figures are one text, so that a copied misspelling becomes no ordinary word.  Both sets are
+    bounded: the first by the mean number of distinct words of a record over ``COMMON_SHARE``, the second by the words
+    within one error of the lexicon."""
+    runs = F.regexp_extract_all(F.translate(F.lower(F.col(text_col)), "ё", "е"), F.lit(r"(\p{L}+|\p{N}+)"))
+    texts = df.where(F.col(text_col).isNotNull()).select(F.concat_ws(" ", F.array(F.lit("")), F.array_distinct(runs)).alias("t")).distinct()
+    # each text begins with an empty word, whose count is that of the texts
+    counts = checkpointed(texts.select(F.explode(F.split("t", " ")).alias("word")).where((F.col("word") == "") | F.col("word").rlike(r"^\p{L}")).groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") > 2))
+    n = counts.where("word = ''").agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+    counts = counts.where((F.col("word") != "") & (F.col("n") > n * NO_TYPO_SHARE))
 
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()

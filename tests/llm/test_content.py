@@ -38,6 +38,13 @@ def test_common_words_are_no_misspellings(spark):
     assert content.Words(no_typos).of("batch") == ("batch",) and content.Words().of("batch") == ("bitch",)
 
 
+def test_copies_make_no_word_common(spark):
+    docs = spark.createDataFrame([(f"batch number {k}",) for k in range(60)] + [(f"You are a total  idoit{'!' * (k % 3)}",) for k in range(30)], "text string")
+    common, no_typos = content.corpus_words(docs)
+    assert no_typos == {"batch"} and common == {"batch", "number"}
+    assert content.Words(no_typos).of("idoit") == ("idiot",)
+
+
 def test_group_names_do_not_move_the_score(model):
     scores = [model.score(f"We welcome {g} in our office.") for g in ("migrants", "women", "southerners", "muslims")]
     assert max(scores) - min(scores) < 0.05
