@@ -44,7 +44,20 @@ NO_TYPO_SHARE = 0.0005
 THRESHOLD = 0.25
 #: The log-odds against a sentence of which nothing is known; the weight a lexicon mark is drawn to lies above it.
 BIAS = 4.0
-SENTENCE = re.compile(r"(?<=[.!?…])[\"»”)]*\s+|[\r\n\v\f\u2028\u2029]+|(?<=[:;]\))\s+|<[^<>]*>")
+#: The names of mark-up elements, old ones too, and of attributes without a value.
+ELEMENTS = """
+a abbr acronym address applet area article aside audio b base basefont bdi bdo bgsound big blink blockquote body br button canvas caption center cite code col colgroup data datalist dd del
+details dfn dialog dir div dl dt em embed fieldset figcaption figure font footer form frame frameset h[1-6] head header hgroup hr html i iframe img input ins kbd keygen label legend li link
+main map mark marquee math menu meta meter nav nobr noframes noindex noscript object ol optgroup option output p param path picture pre progress q rp rt ruby s samp script section select
+slot small source spacer span strike strong style sub summary sup svg table tbody td template textarea tfoot th thead time title tr track tt u ul var video wbr xml xmp (?:o|v|w|m|x|st1|svg|xsl|dc|fb):\\w+
+""".split()
+BARE = "allowfullscreen async autofocus autoplay checked compact controls default defer disabled download hidden ismap itemscope loop multiple muted nohref noshade novalidate nowrap open readonly required reversed selected".split()
+#: Mark-up; what stands between other angle brackets is text.
+TAG = (
+    rf"</?(?i:{'|'.join(ELEMENTS)})(?:\s+(?:[\w:@.-]+\s*=\s*(?:\"[^\"<>]*\"|'[^'<>]*'|[^\s<>\"']+)|(?i:{'|'.join(BARE)})(?=[\s/>])))*\s*/?>"
+    r"|<!--[^<>]*-->|<!(?i:doctype)\b[^<>]*>|<\?(?i:xml)\b[^<>]*>"
+)
+SENTENCE = re.compile(r"(?<=[.!?…])[\"»”)]*\s+|[\r\n\v\f\u2028\u2029]+|(?<=[:;]\))\s+|" + TAG)
 #: Longer sentences are read in windows of so many words, each beginning some words before the end of the last.
 WINDOW, OVERLAP = 80, 10
 SPACED = re.compile(r"(?<!\S)[^\W\d_](?:[ \u00A0][^\W\d_]){2,}(?![^\s.,!?:;»\")])")

@@ -26,6 +26,17 @@ def test_disguises_are_seen(model, text):
     assert model.score(text) >= content.THRESHOLD
 
 
+@pytest.mark.parametrize("text", ["I <3 this place.\nYou idiot.\n-> next", "you <idiot>", "pay < 5, <a real idiot> like you > all", "<p class='x' hidden>Fine.</p><br/>you <b>idiot</b>"])
+def test_only_tags_are_mark_up(model, text):
+    assert model.score(text) >= content.THRESHOLD
+
+
+def test_tags_part_sentences():
+    parts = ["a", "b", "c", "d", "e", "f"]
+    assert content.sentences("a<br>b<A HREF='x y' target=_blank>c</a ><!-- idiot -->d<o:p/>e<img\nsrc=\"i.png\" alt=\"idiot\" />f") == parts
+    assert content.sentences("a <3 b") == ["a <3 b"] and content.sentences("x<i" + " a=b" * 50_000) == ["x<i" + " a=b" * 50_000]
+
+
 @pytest.mark.parametrize("text", ["The farm has a donkey and a pig.", "We strip the labels and screw the lids on.", "Козёл для распилки лежит в мастерской.", "Southerners and women work side by side here.", "", "   ", None])
 def test_neutral_talk_is_none(model, text):
     assert model.score(text) < content.THRESHOLD
