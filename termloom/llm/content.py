@@ -63,10 +63,20 @@ WINDOW, OVERLAP = 80, 10
 SPACED = re.compile(r"(?<!\S)[^\W\d_](?:[ \u00A0][^\W\d_]){2,}(?![^\s.,!?:;»\")])")
 ORDINARY = re.compile(r"[!-~]*|[А-Яа-яЁё!-/:-@\[-`{-~«»—]*")
 LETTERS = regex.compile(r"[\p{L}\p{M}]+")
-EDGES = regex.compile(r"^[^\p{L}\p{N}@$*#!€£|]+|[^\p{L}\p{N}@$*#€£]+$")
+HEAD, TAIL = regex.compile(r"[^\p{L}\p{N}@$*#!€£|]+"), regex.compile(r"[^\p{L}\p{N}@$*#€£]+")
 SEPARATED = regex.compile(r"^\p{L}(?:[^\p{L}\p{N}\s]{1,2}\p{L}){2,}$")
+#: Letters set apart within a run, by the same separator or by any.
+SET_APART = (
+    regex.compile(r"(?<![\p{L}\p{N}])\p{L}([^\p{L}\p{N}\s]{1,2})\p{L}(?:\1\p{L})+(?![\p{L}\p{N}])"),
+    regex.compile(r"(?<![\p{L}\p{N}])\p{L}(?:[^\p{L}\p{N}\s]{1,2}\p{L}){2,}(?![\p{L}\p{N}])"),
+)
 REPEATS = regex.compile(r"(\p{L})\1{2,}")
 MASK_RUN = re.compile("([" + re.escape("*#_%&^~=?") + "])\\1+")
+#: A run of one mask that is longer than any lexicon word hides one letter.
+LONG_MASK = re.compile("([" + re.escape("*#_%&^~=?") + "])\\1{20,}")
+#: What stands for no letter and parts the words of a run; where there is none, signs that may be masks part them.
+PARTS = regex.compile(r"[^\p{L}\p{M}\p{N}" + re.escape("".join(lexicon.LEET) + lexicon.MASKS) + "]+")
+JOINT = re.compile("([" + re.escape("_.-·•~=&?!|+(*#%^") + "])\\1*")
 TAGS = ("insult", "beast", "intense", "person", "explicit", "suggestive", "scene")
 _LISTS = dict(zip(TAGS, (lexicon.INSULTS, lexicon.BEASTS, lexicon.INTENSIFIERS, lexicon.PERSONS, lexicon.EXPLICIT, lexicon.SUGGESTIVE, lexicon.SCENES)))
 #: Lists whose words are looked for behind disguises.
@@ -166,9 +176,11 @@ class Words:
 
     def _read(self, chunk: str) -> tuple[str, ...]:
         text = (chunk if ORDINARY.fullmatch(chunk) else plain(chunk)).lower().replace("ё", "е")
-        text = EDGES.sub("", text)
+        text = _trimmed(text)
+        if len(text) > 100:
+            text = LONG_MASK.sub(r"\1", REPEATS.sub(r"\1", text))
         if len(text) > 100:
-            return tuple(LETTERS.findall(text))
+            return self._parts(text)
         if SEPARATED.match(text):
             text = "".join(c for c in text if c.isalpha())
         text = REPEATS.sub(r"\1", text)
@@ -176,7 +188,22 @@ class Words:
             return (self._word(text),)
         if (e := self.unmask(text)) is not None:
             return (e,)
-        return tuple(map(self._word, LETTERS.findall(text)))
+        return self._parts(text)
+
+    def _parts(self, text: str) -> tuple[str, ...]:
+        """The words of a run that is no word itself: each part is read for itself, with what hides it."""
+        for p in SET_APART:
+            text = p.sub(lambda m: _apart("".join(c for c in m[0] if c.isalpha())), text)
+        parts = [x for x in PARTS.split(text) if x]
+        if len(parts) == 1 and (joints := Counter(m[1] for m in JOINT.finditer(parts[0]))):
+            order = sorted(joints, key=lambda c: (c in "*#%^", -joints[c]))
+            at = order[0]
+            if len(order) > 1 and len(parts[0]) <= 100:
+                at = next((c for c in order if any(x and self.unmask(x) for x in parts[0].split(c))), at)
+            parts = [x for x in parts[0].split(at) if x]
+        if parts == [text]:
+            return tuple(map(self._word, LETTERS.findall(text)))
+        return tuple(w for x in parts for w in self.of(x))
 
     def _word(self, w: str) -> str:
         if self.tags(w) or w in self.no_typos:
@@ -193,12 +220,21 @@ def _deletions(word: str) -> set[str]:
 _GROUPS = frozenset(x.replace("ё", "е") for x in lexicon.GROUPS)
 
 
-def _joined(m: re.Match) -> str:
-    """Spaced out letters as a word; where the first may be a word of its own, without it too."""
-    word = m[0].replace(" ", "").replace("\u00a0", "")
+def _trimmed(text: str) -> str:
+    """The text without the signs at its ends, in one pass."""
+    text = text[m.end() :] if (m := HEAD.match(text)) else text
+    return text[: len(text) - m.end()] if (m := TAIL.match(text[::-1])) else text
+
+
+def _apart(word: str) -> str:
+    """A word of letters set apart; where the first may be a word of its own, without it too."""
     return f"{word} {word[1:]}" if word[0].lower() in "aiавикосуя" else word
 
 
+def _joined(m: re.Match) -> str:
+    return _apart(m[0].replace(" ", "").replace("\u00a0", ""))
+
+
 def sentences(text: str) -> list[str]:
     if SPACED.search(text):
         text = SPACED.sub(_joined, text)

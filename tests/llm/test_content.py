@@ -1,5 +1,6 @@
 import os
 import random
+import time
 
 import pytest
 
@@ -31,6 +32,24 @@ def test_only_tags_are_mark_up(model, text):
     assert model.score(text) >= content.THRESHOLD
 
 
+LONG = ("the", "shop", "opens", "at", "nine", "and", "sells", "bread", "and", "butter") * 5
+
+
+@pytest.mark.parametrize("insult", ["1d10t", "idi*t", "idoit", "idiooot", "i-d-i-o-t", "i.d-i.o-t", "f**k", "a$$hole", "idi" + "*" * 150 + "t"])
+@pytest.mark.parametrize("joint", [",", "_", "...", "/", "-", "+"])
+def test_disguises_in_long_runs_are_seen(model, insult, joint):
+    assert model.score(joint.join([*LONG, insult, *LONG])) >= content.THRESHOLD
+    assert model.score(joint.join([*LONG, "clerk", *LONG])) < content.THRESHOLD
+
+
+def test_long_runs_take_linear_time(model):
+    assert model.score("idi" + "o" * 100_000 + "t") >= content.THRESHOLD and model.score("id" + "*" * 100_000 + "ot!") >= content.THRESHOLD
+    began = time.time()
+    for x in ("w", "a-", "a_b1", "-", "a,", "1", ".a", "ж*"):
+        model.score("a" + x * 100_000 + "a")
+    assert time.time() - began < 60
+
+
 def test_tags_part_sentences():
     parts = ["a", "b", "c", "d", "e", "f"]
     assert content.sentences("a<br>b<A HREF='x y' target=_blank>c</a ><!-- idiot -->d<o:p/>e<img\nsrc=\"i.png\" alt=\"idiot\" />f") == parts
