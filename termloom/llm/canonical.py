@@ -3,10 +3,11 @@
 A value is first undone: look-alike and invisible characters, quotation marks, list marks and the usual phrases around
 a skill ("good command of ...", "... (basic)") go; a text typed in the wrong keyboard layout has its other reading too.
 Readings and entries are then folded into one alphabet, so that a transliteration equals its original, and become sets of
-letter pairs of their words, whatever the order of the words.  The prefix-filter join of these sets gives, exactly, each
-entry at least ``SIMILARITY`` alike; of those the best is kept if an edit distance that depends on the length, or
-an abbreviation with a full stop, explains the difference.  Entries of different meaning that fit equally well leave the
-value unmatched.
+letter pairs of their words, whatever the order of the words, and of the letters run together.  The prefix-filter join of
+these sets gives, exactly, each entry at least ``SIMILARITY`` alike; what may be less alike and still be meant (short
+abbreviations, two errors in a short word) is found by keys.  Of those the best is kept if an edit distance that depends
+on the length, or an abbreviation with a full stop, explains the difference.  Entries of different meaning that fit
+equally well leave the value unmatched.
 """
 
 from __future__ import annotations
@@ -26,6 +27,13 @@ from .set_join import similar_sets
 from .terms import term
 
 SIMILARITY = 0.4
+#: With three edits of three pairs each, only entries of fewer than 21 pairs can be less alike than that, and values of up to
+#: nine more; some are added, as an edit of a spelling of two letters may touch more.
+SMALL_ENTRY, SMALL_VALUE = 28, 38
+#: Run together, two edits keep what has more than 12 letters alike.
+SMALL_JOINED = 12
+#: Keys of entries are sent to all executors up to so many; beyond that the keys are joined in a shuffle.
+BROADCAST_KEYS = 500_000
 #: Letters by the sound they are transliterated with; one sign a sound, so that distances stay the same.
 SOUNDS = dict(zip("абвгдеёжзийклмнопрстуфхцчшщыэюяіїєґў", "abvgdeežzyyklmnoprstufhcčšŝyeŷŵyyegu")) | {"ъ": "", "ь": ""}
 #: Spellings of one sound in Latin letters, longest first.
@@ -166,17 +174,71 @@ def _distance_by_word(a: list[str], b: list[str], most: int) -> int | None:
     return total
 
 
+def _similarity(reading: str, entry: str) -> float:
+    """Jaccard similarity of the letter pairs by word."""
+    a, b = {*letter_pairs(fold(reading))}, {*letter_pairs(fold(entry))}
+    return len(a & b) / len(a | b)
+
+
+def _forms(folded: str) -> list[str]:
+    """A folded text, and its letters run together."""
+    return list(dict.fromkeys((folded, folded.replace(" ", ""))))
+
+
+def _without(word: str, most: int) -> set[str]:
+    """``word`` and what is left of it without up to ``most`` letters."""
+    found = last = {word}
+    for _ in range(most):
+        last = {x[:i] + x[i + 1 :] for x in last for i in range(len(x))}
+        found = found | last
+    return found
+
+
+def keys(text: str, is_entry: bool) -> list[str]:
+    """Texts that a reading and an entry have in common wherever ``difference`` takes the one for the other and their
+    letter pairs, by word and run together, may be less alike than ``SIMILARITY``."""
+    folded = fold(text)
+    words = folded.split()
+    out = set()
+    longest = max(range(len(words)), key=lambda i: len(words[i]), default=0)
+    if is_entry:
+        out |= {f"{len(words)}.{i} {w[:n]}" for i, w in enumerate(words) for n in range(1, min(len(w), 6) + 1)}
+    elif SHORTENED.search(text):
+        out.add(f"{len(words)}.{longest} {words[longest][:6]}")
+    if len(letter_pairs(folded)) <= (SMALL_ENTRY if is_entry else SMALL_VALUE):
+        for form in {folded, " ".join(WORDS.findall(text))}:
+            ws = form.split()
+            for w in {*ws} if is_entry else {max(ws, key=len)}:
+                out |= {f"{len(ws)} {x}" for x in _without(w, 2 if len(w) >= (8 if is_entry else 6) else 1)}
+    joined = "".join(words)
+    if len(joined) <= SMALL_JOINED + (0 if is_entry else 2):
+        out |= {f"1 {x}" for x in _without(joined, 2)}
+    return sorted(out)
+
+
 _READ = "raw_value string, reading string, folded string, tokens array<string>"
 
 
 def _read(batches: Iterator[pa.RecordBatch], all_readings: bool) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        rows = [(v, r, f, letter_pairs(f)) for v in b.column(0).to_pylist() for r in (readings(v) if all_readings else [v]) if (f := fold(r))]
+        rows = [(v, r, f, letter_pairs(f)) for v in b.column(0).to_pylist() for r in (readings(v) if all_readings else [v]) for f in _forms(fold(r)) if f]
         cols = list(zip(*rows)) or [[], [], [], []]
         kinds = (pa.string(), pa.string(), pa.string(), pa.list_(pa.string()))
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["raw_value", "reading", "folded", "tokens"])
 
 
+def _keyed(texts: DataFrame, is_entry: bool) -> DataFrame:
+    """(text, key) of the distinct ``texts`` (text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for at in range(0, b.num_rows, 500):  # a text has hundreds of keys
+                part = b.column(0).slice(at, 500)
+                yield pa.RecordBatch.from_arrays([part, pa.array([keys(x, is_entry) for x in part.to_pylist()], pa.list_(pa.string()))], names=["text", "keys"])
+
+    return texts.mapInArrow(run, "text string, keys array<string>").select("text", F.explode("keys").alias("key"))
+
+
 def map_values(values: DataFrame, reference: DataFrame, alias: str = "alias", canonical: str = "canonical", similarity: float = SIMILARITY) -> DataFrame:
     """(raw_value, canonical, edits) of the distinct ``values.raw_value`` that are no alias themselves; canonical is null
     for those that mean no entry.
@@ -194,19 +256,26 @@ def map_values(values: DataFrame, reference: DataFrame, alias: str = "alias", ca
     similar = similar_sets(one(read), one(entries), similarity)
     # an edit touches at most three pairs on either side, an abbreviation has a full stop
     apart = (F.col("n_left") + F.col("n_right")) * (1 - F.col("similarity")) / (1 + F.col("similarity"))
-    pairs = (
-        similar.join(read.select(F.col("folded").alias("left_id"), "raw_value", "reading"), "left_id")
+    like = (
+        similar.join(read.select(F.col("folded").alias("left_id"), "reading"), "left_id")
         .join(entries.select(F.col("folded").alias("right_id"), F.col("raw_value").alias("entry")), "right_id")
         .where((apart <= 18.5) | F.col("reading").contains("."))
-        .select("raw_value", "reading", "entry", "similarity")
+        .select("reading", "entry")
     )
+    own = checkpointed(_keyed(entries.select(F.col("raw_value").alias("text")).distinct(), True).withColumnRenamed("text", "entry"))
+    by_key = _keyed(spread(read.select(F.col("reading").alias("text")).distinct()), False).join(F.broadcast(own) if own.count() <= BROADCAST_KEYS else own, "key").select(F.col("text").alias("reading"), "entry")
+    pairs = like.unionByName(by_key).distinct()
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            d = pa.array([difference(r, e) for r, e in zip(b.column(1).to_pylist(), b.column(2).to_pylist())], pa.int32())
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), b.column(3), d], names=["raw_value", "entry", "similarity", "edits"]).filter(d.is_valid())
-
-    good = spread(pairs).mapInArrow(judge, "raw_value string, entry string, similarity double, edits int").join(known, "entry")
+            both = list(zip(b.column(0).to_pylist(), b.column(1).to_pylist()))
+            d = [difference(r, e) for r, e in both]
+            s = [None if x is None else _similarity(r, e) for x, (r, e) in zip(d, both)]
+            d = pa.array(d, pa.int32())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(s, pa.float64()), d], names=["reading", "entry", "similarity", "edits"]).filter(d.is_valid())
+
+    judged = spread(pairs).mapInArrow(judge, "reading string, entry string, similarity double, edits int")
+    good = judged.join(read.select("raw_value", "reading").distinct(), "reading").join(known, "entry")
     rank = F.struct("edits", (-F.round("similarity", 6)).alias("s"))
     best = good.groupBy("raw_value", "canonical").agg(F.min(rank).alias("rank")).groupBy("raw_value").agg(F.min(F.struct("rank", "canonical")).alias("x"), F.collect_list(F.struct("rank", "canonical")).alias("all"))
     clear = F.size(F.filter("all", lambda y: y.rank == F.col("x.rank"))) == 1  # "all": the entries near one value

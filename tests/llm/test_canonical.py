@@ -37,6 +37,32 @@ def test_ways_of_writing(spark):
     }
 
 
+def test_accepted_spellings_that_share_few_letter_pairs(spark):
+    ref = [(x, x) for x in ("administration", "python", "dataflow", "deployment", "kubernetes cluster", "учёт", "jobs")]
+    want = {"adm.": "administration", "p y t h o n": "python", "adtafolw": "dataflow", "dxploymxnt": "deployment", "k u b e r n e t e s c l u s t e t": "kubernetes cluster", "у ч е т": "учёт", "j.o.b.z": None}
+    assert mapped(spark, list(want), ref) == want
+
+
+def test_keys_meet_wherever_the_pairs_may_not():
+    rng = random.Random(4)
+    entries = ["dataflow", "analysis", "deployment", "банковский учёт", "data mining", "web services", "абвгдежз", "работа щитом", "abababab", "school", "чтение схем"]
+    seen = 0
+    for _ in range(20_000):
+        e = rng.choice(entries)
+        x = list(e)
+        for _ in range(rng.randint(1, 3)):
+            i = rng.randrange(len(x) - 1)
+            x[i : i + 2] = rng.choice([[x[i + 1], x[i]], ["q", x[i + 1]], [x[i + 1]], [x[i], " ", x[i + 1]], [x[i], "z", x[i + 1]], [". "]])
+        r = "".join(x).strip()
+        if not canonical.fold(r) or canonical.difference(r, e) is None:
+            continue
+        a, b = ([{*canonical.letter_pairs(f)} for f in canonical._forms(canonical.fold(t))] for t in (r, e))
+        if max(len(p & q) / len(p | q) for p in a for q in b) < canonical.SIMILARITY:
+            seen += 1
+            assert {*canonical.keys(r, False)} & {*canonical.keys(e, True)}, (r, e)
+    assert seen > 100
+
+
 def test_resembling_skills_are_unmatched(spark):
     values = ["machine juggling", "r2e", "деловая игра", "учёт париков", "gardening"]
     assert mapped(spark, values) == dict.fromkeys(values)
