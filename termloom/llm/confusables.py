@@ -4,7 +4,8 @@ Script-aware repair: forms of presentation (full width, mathematical, ligatures)
 hyphens and invisible characters are brought to their plain form; then, in each unbroken run of letters that mixes
 scripts, look-alikes are put into the run's dominant script.  A run whose scripts tie is decided by the vocabulary of
 the whole corpus: the reading that occurs there as a word, the more frequent one if both do.  Runs of one script, and
-runs with a letter that has no look-alike in the dominant script, keep their letters.
+runs with a letter that has no look-alike in the dominant script, keep their letters.  Look-alikes are known for Latin,
+Cyrillic, Greek, Armenian, Cherokee and Lisu.  A dotless i is a letter of its own in some languages: it is one more tie.
 """
 
 from __future__ import annotations
@@ -23,7 +24,19 @@ LATIN_CYRILLIC = dict(zip("AaBbCcEeHhIiJjKkMmOoPpSsTtXxYyËëӘəÏï", "АаВ
 CYRILLIC_LATIN = {c: x for x, c in LATIN_CYRILLIC.items()} | dict(zip("һԁԛԝҮүӀ", "hdqwYyI"))
 GREEK_LATIN = dict(zip("ΑαΒΕεΖΗηΙιΚκΜΝνΟοΡρΤτΥυΧχϹϲϳ", "AaBEeZHnIiKkMNvOoPpTtYuXxCcj"))
 GREEK_CYRILLIC = dict(zip("ΑαΒΓΕΗΙιΚκΛΜΟοΠπΡρΤτΥυΦφΧχ", "АаВГЕНІіКкЛМОоПпРрТтУуФфХх"))
+ARMENIAN_LATIN = dict(zip("օոսհզցյքգռՕՏՍ", "onuhqgjfqnOSU"))
+CHEROKEE_LATIN = dict(zip("ᎠᎡᎢᎥᎩᎪᎫᎬᎳᎷᎻᎽᏀᏂᏃᏏᏒᏔᏕᏙᏚᏞᏟᏢᏦᏧᏳᏴꭵꮁꮃꮓꮩꮪꮯ", "DRTiyAJEWMHYGhZbRWSVSLCPKdGBirwzvsc"))
+LISU_LATIN = dict(zip("ꓐꓑꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ", "BPDTGKJCZFMNLSRVHWXYAEIOU"))
 TO = {("LATIN", "CYRILLIC"): LATIN_CYRILLIC, ("CYRILLIC", "LATIN"): CYRILLIC_LATIN, ("GREEK", "LATIN"): GREEK_LATIN, ("GREEK", "CYRILLIC"): GREEK_CYRILLIC}
+for _name, _table in (("ARMENIAN", ARMENIAN_LATIN), ("CHEROKEE", CHEROKEE_LATIN), ("LISU", LISU_LATIN)):
+    _back = {x: c for c, x in reversed(_table.items())}
+    TO["LATIN", _name] = _back
+    for _to, _own in (("LATIN", {x: x for x in _table.values()}), ("CYRILLIC", LATIN_CYRILLIC)):
+        TO[_name, _to] = {c: _own[x] for c, x in _table.items() if x in _own}
+    TO["CYRILLIC", _name] = {c: _back[x] for c, x in CYRILLIC_LATIN.items() if x in _back}
+SCRIPTS = {x for pair in TO for x in pair}
+#: Latin letters that look like plain ones.
+PLAIN_LETTERS = dict(zip("ɑɡɩɪȷᴄᴏᴜʋᴠᴡᴢꜱʏ", "agiijcouuvwzsy"))
 #: Punctuation of other forms, by its plain form.
 PLAIN_MARKS = {**dict.fromkeys("‐‑‒–−⁃﹣－﹘", "-"), **dict.fromkeys("‘’‚‛ʼ′＇", "'"), **dict.fromkeys("“”„‟″＂", '"'), "⁄": "/", "∕": "/", "․": ".", "꞉": ":", "∶": ":", "ǃ": "!"}
 #: Kinds of compatibility form that are another look of the same character.
@@ -46,16 +59,18 @@ MIXED = r"[A-Za-z][А-Яа-яЁё]|[А-Яа-яЁё][A-Za-z]"
 
 
 def script(ch: str) -> str:
-    """LATIN, CYRILLIC, GREEK or, for any other letter, OTHER."""
+    """LATIN, CYRILLIC, GREEK, ARMENIAN, CHEROKEE, LISU or, for any other letter, OTHER."""
     if ch < "\x80":
         return "LATIN"
     name = unicodedata.name(ch, "").split(" ", 1)[0]
-    return name if name in ("LATIN", "CYRILLIC", "GREEK") else "OTHER"
+    return name if name in SCRIPTS else "OTHER"
 
 
 def _form(ch: str) -> str:
     if ch in PLAIN_MARKS:
         return PLAIN_MARKS[ch]
+    if ch in PLAIN_LETTERS:
+        return PLAIN_LETTERS[ch]
     kind = unicodedata.decomposition(ch).split(" ", 1)[0]
     if kind in FORMS or (kind == "<compat>" and unicodedata.category(ch)[0] == "L" or unicodedata.category(ch) == "Nl" and kind):
         plain = unicodedata.normalize("NFKC", ch)
@@ -79,15 +94,16 @@ def read_as(run: str, to: str) -> str | None:
 
 def readings(run: str) -> list[str]:
     """What a run of letters may stand for: one reading where a script dominates or nothing can be replaced, else the
-    readings of the tying scripts."""
+    readings of the tying scripts; with a dotless i also that with a plain one."""
     if run.isascii():
         return [run]
     n = Counter(map(script, run))
     if len(n) == 1:
-        return [run]
-    most = max(n.values())
-    found = [x for s in sorted(n) if n[s] == most and (x := read_as(run, s)) is not None]
-    return found or [run]
+        found = [run]
+    else:
+        most = max(n.values())
+        found = [x for s in sorted(n) if n[s] == most and (x := read_as(run, s)) is not None] or [run]
+    return found + [x.replace("ı", "i") for x in found if "ı" in x]
 
 
 def plain(text: str, choose: Callable[[list[str]], str] = lambda found: found[0]) -> str:
@@ -125,8 +141,9 @@ def clean_values(values: DataFrame) -> DataFrame:
         for b in batches:
             texts = b.column(2).to_pylist()
             clean = [plain(t) for t in texts]
-            change = pa.array([c != squeezed(t) for c, t in zip(clean, texts)], pa.bool_())
-            ties = pa.array([_ties(t) for t in texts], pa.list_(pa.list_(pa.string())))
+            found = [_ties(t) for t in texts]
+            change = pa.array([bool(x) or c != squeezed(t) for c, t, x in zip(clean, texts, found)], pa.bool_())
+            ties = pa.array(found, pa.list_(pa.list_(pa.string())))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(clean, pa.string()), ties], names=["field_name", "rec_id", "raw_value", "clean_value", "ties"]).filter(change)
 
     made = odd.mapInArrow(run, "field_name string, rec_id string, raw_value string, clean_value string, ties array<array<string>>")
@@ -145,8 +162,10 @@ def clean_values(values: DataFrame) -> DataFrame:
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            clean = [plain(t, lambda x, own=dict(m): own["\x00".join(x)]) for t, m in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(clean, pa.string())], names=[*row, "clean_value"])
+            texts = b.column(2).to_pylist()
+            clean = [plain(t, lambda x, own=dict(m): own["\x00".join(x)]) for t, m in zip(texts, b.column(3).to_pylist())]
+            change = pa.array([c != squeezed(t) for c, t in zip(clean, texts)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(clean, pa.string())], names=[*row, "clean_value"]).filter(change)
 
     decided = chosen.mapInArrow(decide, "field_name string, rec_id string, raw_value string, clean_value string")
     return sure.unionByName(decided)

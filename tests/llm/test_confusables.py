@@ -29,6 +29,28 @@ def test_plain(raw, clean):
     assert confusables.plain(clean) == clean
 
 
+@pytest.mark.parametrize(
+    "raw, clean",
+    [
+        ("L\u0435dg\u0585r", "Ledgor"),  # Cyrillic, Armenian
+        ("\ua4e2erver", "Server"),  # Lisu
+        ("\u13daerver \u13e2ython", "Server Python"),  # Cherokee
+        ("пр\u0585ект", "проект"),  # Armenian in Cyrillic
+        ("\u0570\u0561\u0575o\u0581", "\u0570\u0561\u0575\u0585\u0581"),  # Latin in Armenian
+        ("lo\u0261in d\u0251ta", "login data"),  # Latin in Latin
+        ("\u0570\u0561\u0575\u0565\u0580\u0565\u0576 \u10e5\u10d0\u10e0", "\u0570\u0561\u0575\u0565\u0580\u0565\u0576 \u10e5\u10d0\u10e0"),
+    ],
+)
+def test_more_scripts(raw, clean):
+    assert confusables.plain(raw) == clean
+    assert confusables.plain(clean) == clean
+
+
+def test_dotless_i_is_decided_by_the_vocabulary(spark):
+    rows = [("f", "1", "l\u0131st"), ("f", "2", "list of lists"), ("f", "3", "list"), ("f", "4", "k\u0131rm\u0131z\u0131")]
+    assert cleaned(spark, rows) == {("1", "l\u0131st"): "list"}
+
+
 def cleaned(spark, rows):
     return {(r.rec_id, r.raw_value): r.clean_value for r in confusables.clean_values(spark.createDataFrame(rows, SCHEMA)).collect()}
 
