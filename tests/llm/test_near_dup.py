@@ -1,3 +1,4 @@
+import os
 import random
 
 import pytest
@@ -76,3 +77,8 @@ def test_plan_reaches_the_recall():
     for t in (0.5, 0.6, 0.8, 0.95, 1.0):
         b, r = near_dup.plan_bands(t, 0.999)
         assert 1 - (1 - t**r) ** b >= 0.999 and b * r <= near_dup.MAX_HASHES
+
+
+def test_readme_names_the_bands():
+    with open(os.path.join(os.path.dirname(__file__), "../../README.md"), encoding="utf-8") as f:
+        assert f"each text sends {near_dup.plan_bands(0.6, 0.999)[0]} band values" in f.read()
