@@ -6,6 +6,7 @@ no tree (ids, addresses, the embedded skill list) is a built-in expression.
 
 from __future__ import annotations
 
+import logging
 import html
 import json
 import re
@@ -172,10 +173,19 @@ def detail_record(page: str | None, listed_name: str | None = None) -> dict:
     return {"name": title, "description": description, "key_skills": [{"name": x} for x in embedded_skills(page)]}
 
 
+def isolated(parse, *args):  # noqa: ANN001, ANN002, ANN201
+    """``parse(*args)``; null, with a line in the log, where it raises, so that a page doesn't end the job."""
+    try:
+        return parse(*args)
+    except Exception:
+        logging.getLogger("termloom").exception("a page can't be read and is skipped")
+        return None
+
+
 @F.pandas_udf(_TEXT)
 def html_text(pages: pd.Series) -> pd.Series:
-    """Arrow UDF of ``glued_text``."""
-    return pages.map(glued_text)
+    """Arrow UDF of ``glued_text``; null for a page that makes the parser raise."""
+    return pages.map(lambda x: isolated(glued_text, x))
 
 
 @F.pandas_udf(LISTING)
@@ -186,8 +196,8 @@ def listing_rows(pages: pd.Series) -> pd.Series:
 
 @F.pandas_udf(DETAIL)
 def detail_of(pages: pd.Series, names: pd.Series) -> pd.DataFrame:
-    """Arrow UDF of ``detail_record``."""
-    return pd.DataFrame([detail_record(p, n) for p, n in zip(pages, names)], columns=["name", "description", "key_skills"])
+    """Arrow UDF of ``detail_record``; nulls for a page that makes the parser raise."""
+    return pd.DataFrame([isolated(detail_record, p, n) or {} for p, n in zip(pages, names)], columns=["name", "description", "key_skills"])
 
 
 class SearchResults:

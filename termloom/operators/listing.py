@@ -44,12 +44,16 @@ def first_passing(rows: DataFrame, passes: Column, columns: list[str] | None = N
 
 
 def limit_per_query(rows: DataFrame, limit: int, source: str = "html") -> DataFrame:
-    """The first rows of each query: exactly ``limit`` of a source of pages, whole pages of 100 of the structured one."""
+    """The first rows of each query: exactly ``limit`` of a source of pages, whole pages of 100 of the structured one;
+    with ``auto`` a query with any row from a page counts as the first."""
     if limit <= 0:
         raise ValueError("limit must be positive")
-    k = limit if source == "html" else -(-limit // API_PAGE) * API_PAGE
+    pages = -(-limit // API_PAGE) * API_PAGE
+    k = F.lit(limit if source == "html" else pages)
+    if source == "auto":
+        k = F.when(F.max(F.col("_source") == "html").over(Window.partitionBy("query_ord")), limit).otherwise(pages)
     order = Window.partitionBy("query_ord").orderBy("pos", "id")
-    return rows.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= k).drop("__n")
+    return rows.withColumn("__n", F.row_number().over(order)).withColumn("__k", k).where(F.col("__n") <= F.col("__k")).drop("__n", "__k")
 
 
 def until_empty_page(pages: DataFrame) -> DataFrame:

@@ -40,7 +40,9 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if not settings.input:
         raise SystemExit("--input is needed: the folder of the tables")
-    ranked = pipeline.run(spark, settings.input, settings.mode, settings.html_description_fallback, settings.vacancies_limit)
+    ranked = pipeline.run_saved(
+        spark, settings.input, settings.output.rstrip("/") + ".progress", settings.mode, settings.html_description_fallback, settings.vacancies_limit, settings.source, settings.save_every, settings.strict_resume
+    )
     if settings.output.endswith(".csv"):
         rows = [(r.skill, r["count"]) for r in ranked.orderBy("rank").select("skill", "count").toLocalIterator()]  # a named file is for results of a file's size
         save_result_file(rows, settings.output)

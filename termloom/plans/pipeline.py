@@ -13,7 +13,13 @@ from termloom.functions.dictionary import collect_dictionary
 from termloom.functions.html import html_text
 from termloom.functions.text import normalize_query
 from termloom.operators import counts, extract, listing
+from termloom.operators.ordering import numbered
+from termloom.session import checkpointed
 from termloom.sources.tables import table
+from termloom.streaming.progress import State, fingerprint
+
+#: Each saving is a job of its own, so a run has no more of them.
+MAX_SAVES = 20
 
 
 def selected(listings: DataFrame, queries: DataFrame, processed: DataFrame | None = None, limit: int | None = None, source: str = "html", columns: list[str] | None = None) -> DataFrame:
@@ -29,7 +35,8 @@ def selected(listings: DataFrame, queries: DataFrame, processed: DataFrame | Non
 
 
 def skills_of(rows: DataFrame, details: DataFrame, dictionary: dict[str, str], mode: str = "key-skills", html_fallback: bool = False) -> DataFrame:
-    """(id, query_ord, pos, skills) of the rows that have a detail record; records without skills have an empty array.
+    """(id, query_ord, pos, skills) of the rows that have a detail record; records without skills have an empty array, those
+    whose text can't be read are left out.
 
     Texts are searched only where a record's mode asks for it."""
     described_too = mode != "key-skills" or html_fallback
@@ -38,14 +45,39 @@ def skills_of(rows: DataFrame, details: DataFrame, dictionary: dict[str, str], m
     if not described_too:
         described = F.array().cast("array<string>")
     else:
-        described = extract.skills_in_text(html_text(F.when(F.col("mode") != "key-skills", F.col("description"))), dictionary)
+        wanted = (F.col("mode") != "key-skills") & F.col("description").isNotNull()
+        looked_up = looked_up.withColumn("text", html_text(F.when(wanted, F.col("description")))).where(~F.coalesce(wanted, F.lit(False)) | F.col("text").isNotNull())
+        described = extract.skills_in_text(F.col("text"), dictionary)
     return looked_up.withColumn("described", described).select("id", "query_ord", "pos", extract.record_skills(F.col("mode"), F.col("key_skills"), F.col("described")).alias("skills"))
 
 
-def run(spark: SparkSession, base: str, mode: str = "key-skills", html_fallback: bool = False, limit: int | None = None, processed: DataFrame | None = None) -> DataFrame:
+def run(spark: SparkSession, base: str, mode: str = "key-skills", html_fallback: bool = False, limit: int | None = None, processed: DataFrame | None = None, source: str = "html") -> DataFrame:
     """(rank, skill, count, first_seen) over the tables in ``base``."""
     dictionary = collect_dictionary(table(spark, base, "skills_whitelist"))
-    rows = selected(table(spark, base, "listings"), table(spark, base, "search_queries"), processed, limit, columns=[])
+    rows = selected(table(spark, base, "listings"), table(spark, base, "search_queries"), processed, limit, source, columns=[])
     wanted = ["key_skills"] if mode == "key-skills" and not html_fallback else ["key_skills", "description"]
     details = listing.latest_details(table(spark, base, "vacancy"), wanted)
     return counts.ranked(counts.skill_counts(skills_of(rows, details, dictionary, mode, html_fallback)))
+
+
+def run_saved(spark: SparkSession, base: str, path: str, mode: str = "key-skills", html_fallback: bool = False, limit: int | None = None, source: str = "html", save_every: int = 10, strict: bool = False) -> DataFrame:
+    """As ``run``, with ids and counts saved in the folder ``path``: what an earlier run of the same phrases and mode (in
+    strict form also dictionary, source, limit and fallback) has saved is counted and not worked on again.
+
+    Progress is saved after ``save_every`` records, or after a ``MAX_SAVES``-th of them where that is more."""
+    dictionary = collect_dictionary(table(spark, base, "skills_whitelist"))
+    queries = table(spark, base, "search_queries")
+    phrases = [r[0] for r in queries.orderBy("query_ord").select("query_text").collect()]
+    more = {"dictionary": dictionary, "source": source, "limit": limit, "html_fallback": html_fallback} if strict else None
+    state = State(spark, path)
+    state.keep_for(fingerprint(phrases, mode, more))
+    rows = selected(table(spark, base, "listings"), queries, state.processed(), limit, source, columns=[])
+    rows = checkpointed(numbered(rows.select("id", "query_ord", "pos"), F.asc("query_ord"), F.asc("pos"), F.asc("id")))
+    wanted = ["key_skills"] if mode == "key-skills" and not html_fallback else ["key_skills", "description"]
+    details = listing.latest_details(table(spark, base, "vacancy"), wanted)
+    n, first = rows.count(), state.next_batch()
+    size = max(save_every, -(-n // MAX_SAVES))
+    for k in range(-(-n // size)):
+        own = rows.where(F.col("rank").between(k * size + 1, (k + 1) * size))
+        state.add(skills_of(own, details, dictionary, mode, html_fallback), first + k)
+    return counts.ranked(state.counts())

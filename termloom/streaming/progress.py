@@ -62,6 +62,19 @@ class State:
         folder = make(f"{self.path}/done")
         return sorted(int(s.getPath().getName()) for s in fs.listStatus(folder)) if fs.exists(folder) else []
 
+    def next_batch(self) -> int:
+        """The number after that of the last complete batch."""
+        return max(self._done(), default=-1) + 1
+
+    def keep_for(self, wanted: dict) -> None:
+        """Empties the state unless it was kept for the same fingerprint."""
+        fs, make = self._fs()
+        text = json.dumps(wanted, ensure_ascii=True, sort_keys=True)
+        key = make(f"{self.path}/key/" + hashlib.sha256(text.encode()).hexdigest())
+        if not fs.exists(key):
+            fs.delete(make(self.path), True)
+            fs.create(key, True).close()
+
     def _read(self, kind: str, schema: str) -> DataFrame:
         paths = [f"{self.path}/{kind}/{b}" for b in self._done()]
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)

@@ -169,3 +169,31 @@ def test_stream_equals_batch_and_restarts(spark, tmp_path):
     run()
     run()
     assert {(r.skill, r["count"]) for r in state.counts().collect()} == {("s1", 2), ("s2", 2), ("s0", 1)}
+
+
+def test_run_saves_and_resumes(spark, tmp_path):
+    from termloom.plans import pipeline
+    from termloom.streaming.progress import State
+
+    base, saved = "/root/testdata/sf0.001", str(tmp_path / "x.progress")
+    plain = [(r.skill, r["count"]) for r in pipeline.run(spark, base, limit=150, source="api").orderBy("rank").collect()]
+    again = lambda **kw: [(r.skill, r["count"]) for r in pipeline.run_saved(spark, base, saved, limit=150, source="api", save_every=40, **kw).orderBy("rank").collect()]
+    assert again() == plain
+    state = State(spark, saved)
+    batches = state.next_batch()
+    assert batches > 0 and again() == plain and state.next_batch() == batches  # nothing was left to do
+    assert again(strict=True) == plain and state.next_batch() == batches  # another fingerprint: started anew
+
+
+def test_source_decides_the_limit(spark):
+    from termloom.operators.listing import limit_per_query
+
+    rows = spark.createDataFrame([(q, p, str(p), "html" if q == 1 and p == 7 else "api") for q in (1, 2) for p in range(250)], "query_ord int, pos int, id string, _source string")
+    n = lambda s: {r.query_ord: r["count"] for r in limit_per_query(rows, 150, s).groupBy("query_ord").count().collect()}
+    assert n("html") == {1: 150, 2: 150} and n("api") == {1: 200, 2: 200} and n("auto") == {1: 150, 2: 200}
+
+
+def test_a_failing_page_is_skipped():
+    from termloom.functions import html
+
+    assert html.isolated(lambda x: 1 // x, 0) is None and html.isolated(lambda x: x, "a") == "a"
