@@ -31,6 +31,12 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism))
 
 
+def large(df: DataFrame) -> DataFrame:
+    """``df`` for a join of two sides that both grow with the data: joined by sorting, whatever sizes are estimated.  (An
+    array counts as one element in Spark's estimates, so a broadcast may be chosen that no driver can hold.)"""
+    return df.hint("merge")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows of ``df``, written once to the checkpoint folder that all executors share, so that a lost executor costs
     no recomputation and two readers cost one run.
