@@ -5,10 +5,12 @@
    meet each other nowhere.
 3. A class has b * r MinHash values; each r of them are hashed into a band.  ``plan_bands`` takes the largest r for
    which b bands still find a pair at the threshold with the wanted recall: large r keep unlike texts apart.
-4. Classes with a band in common are candidates.  A band value with many classes is split into chunks, and each two
-   chunks meet in a task of their own.  Sizes are compared at once (a pair at the threshold can't differ more).
-5. Candidates are first compared by a 128-value sketch with a margin of five standard deviations, then, the few that
+4. Band values are shuffled once and read in order: classes with one in common are candidates if their sizes allow the
+   threshold.  A band value with many classes is split into chunks, and each two chunks meet in a task of their own.
+5. Candidates are first compared by a sketch of 512 bits with a margin of five standard deviations, then, the few that
    are left, on their full sets: the result has no false pair.
+
+No side of a join is broadcast: all grow with the data, and an array counts as one element where its size is estimated.
 """
 
 from __future__ import annotations
@@ -20,20 +22,24 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termloom.session import checkpointed
+from termloom.session import checkpointed, large
 
 TAG = regex.compile(r"<[^<>]*>")
-#: What stands between these marks is no text.
-HIDDEN = (("<!--", "-->"), ("<script", "</script"), ("<style", "</style"))
+#: What stands between these marks is no text.
+HIDDEN = tuple(tuple(regex.compile(x, regex.I) for x in pair) for pair in (("<!--", "-->"), ("<script", "</script"), ("<style", "</style")))
 WORD = regex.compile(r"[\p{L}\p{N}]+")
 #: MinHash values a text may cost.
 MAX_HASHES = 1200
-#: Classes of one band value that meet in one task.
-CHUNK = 256
-SKETCH = 128
+#: Classes of one band value that a task holds; of values with more, each two chunks of so many meet in a task.
+CHUNK = 1024
+#: Members of a class that are joined under one key.
+MEMBERS = 1000
+#: A sketch: one bit of each of so many MinHash values, in columns of 64.
+LONGS = 8
+BITS, SKETCH = 64 * LONGS, [f"s{k}" for k in range(LONGS)]
 _MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -52,13 +58,10 @@ def plan_bands(threshold: float, recall: float, max_hashes: int = MAX_HASHES) ->
 def _shown(text: str) -> str:
     """The text without comments, scripts and styles; in one pass for each kind."""
     for start, end in HIDDEN:
-        low = text.lower()
-        if start not in low or len(low) != len(text):
-            continue
         out, at = [], 0
-        while (i := low.find(start, at)) >= 0 and (j := low.find(end, i)) >= 0:
-            out += [text[at:i], " "]
-            at = j + len(end)
+        while (i := start.search(text, at)) and (j := end.search(text, i.end())):
+            out += [text[at : i.start()], " "]
+            at = j.end()
         text = "".join(out) + text[at:]
     return text
 
@@ -117,7 +120,7 @@ class MinHash:
     def __init__(self, bands: int, rows: int):
         self.bands, self.rows = bands, rows
         rng = np.random.default_rng(20240607)
-        n = max(bands * rows, SKETCH)
+        n = max(bands * rows, BITS)
         self.a = rng.integers(1, 2**63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
         self.b = rng.integers(0, 2**63, n, dtype=np.uint64)
 
@@ -127,9 +130,9 @@ class MinHash:
             out = np.minimum(out, (self.a[:, None] * x[None, at : at + 256] + self.b[:, None]).min(axis=1))
         return out
 
-    def sketch_and_bands(self, x: np.ndarray) -> tuple[bytes, np.ndarray]:
+    def sketch_and_bands(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         v = _mix(self.values(x))
-        sketch = (v[:SKETCH] & np.uint64(0xFF)).astype(np.uint8).tobytes()
+        sketch = np.packbits((v[:BITS] & np.uint64(1)).astype(np.uint8)).view(np.int64)
         v = v[: self.bands * self.rows].reshape(self.bands, self.rows)
         band = np.arange(self.bands, dtype=np.uint64)
         for k in range(self.rows):
@@ -181,80 +184,182 @@ def similar_classes(sets: DataFrame, threshold: float, recall: float = 0.999) ->
                 lists = part.column(2)
                 flat, ends = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64), np.cumsum([0, *lists.value_lengths().to_pylist()])
                 made = [hasher.sketch_and_bands(flat[ends[i] : ends[i + 1]]) for i in range(len(part))]
+                sketches = np.array([s for s, _ in made]).reshape(len(made), LONGS)
                 values = np.concatenate([x for _, x in made]) if made else np.empty(0, np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), pa.array([s for s, _ in made], pa.binary()), pa.ListArray.from_arrays(pa.array(np.arange(0, len(values) + 1, bands, dtype=np.int32)), pa.array(values))],
-                    names=["class_id", "n", "sketch", "bands"],
+                    [part.column(0), part.column(1), *[pa.array(sketches[:, k]) for k in range(LONGS)], pa.ListArray.from_arrays(pa.array(np.arange(0, len(values) + 1, bands, dtype=np.int32)), pa.array(values))],
+                    names=["class_id", "n", *SKETCH, "bands"],
                 )
 
-    hashed = sets.select("class_id", "n", "feats").mapInArrow(run, "class_id string, n int, sketch binary, bands array<bigint>")
+    hashed = sets.select("class_id", "n", "feats").mapInArrow(run, f"class_id string, n int, {', '.join(f'{c} bigint' for c in SKETCH)}, bands array<bigint>")
     hashed = checkpointed(hashed.withColumn("num", F.xxhash64("class_id")))
-    banded = hashed.select("num", "n", F.explode("bands").alias("band"))
-    candidates = _candidates(banded, threshold)
-
-    sketches = hashed.select("num", "class_id", "sketch")
-    least = max(0.0, threshold - 5 * math.sqrt(threshold * (1 - threshold) / SKETCH))
-    likely = (
-        candidates.join(sketches.select(F.col("num").alias("num_a"), F.col("class_id").alias("class_a"), F.col("sketch").alias("sketch_a")), "num_a")
-        .join(sketches.select(F.col("num").alias("num_b"), F.col("class_id").alias("class_b"), F.col("sketch").alias("sketch_b")), "num_b")
-        .where(_sketch_similarity(F.col("sketch_a"), F.col("sketch_b")) >= least)
-        .select(F.least("class_a", "class_b").alias("class_a"), F.greatest("class_a", "class_b").alias("class_b"))
-        .distinct()
-    )
+    sketches = hashed.select("num", "n", *SKETCH)
+    met = checkpointed(_meet(hashed.select(F.explode("bands").alias("band"), "num", "n"), threshold))
+
+    least = _least_bits(threshold)
+    bits = sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in SKETCH), F.lit(0))
+    # by the first class, then distinct: the join with its sketch finds the pairs where they are
+    pairs = met.where("hot_band is null").select("num_a", "num_b").repartition("num_a").distinct()
+    for s in "ab":
+        pairs = large(pairs).join(sketches.select(F.col("num").alias(f"num_{s}"), *[F.col(c).alias(f"{s}_{c}") for c in SKETCH]), f"num_{s}")
+    likely = pairs.where(BITS - bits >= least).select("num_a", "num_b")
+    likely = likely.unionByName(_meet_hot(met.where("hot_band is not null").select("hot_band", "num_a"), sketches, threshold))
+
+    names = hashed.select("num", "class_id")
+    for s in "ab":
+        likely = large(likely).join(names.select(F.col("num").alias(f"num_{s}"), F.col("class_id").alias(f"name_{s}")), f"num_{s}")
+    likely = likely.select(F.least("name_a", "name_b").alias("class_a"), F.greatest("name_a", "name_b").alias("class_b")).distinct()
     full = lambda s: sets.select(F.col("class_id").alias(f"class_{s}"), F.col("n").alias(f"size_{s}"), F.col("feats").alias(f"feats_{s}"))
-    both = likely.join(full("a"), "class_a").join(full("b"), "class_b").withColumn("common", F.size(F.array_intersect("feats_a", "feats_b")))
+    both = large(large(likely).join(full("a"), "class_a")).join(full("b"), "class_b").withColumn("common", F.size(F.array_intersect("feats_a", "feats_b")))
     similarity = F.col("common") / (F.col("size_a") + F.col("size_b") - F.col("common"))
     return both.select("class_a", "class_b", similarity.alias("similarity")).where(F.col("similarity") >= threshold)
 
 
-def _sketch_similarity(a: Column, b: Column) -> Column:
-    """The share of equal places of two sketches; 1/256 of unequal ones agree by chance, which only lets more pass."""
-    same = F.pandas_udf(_equal_share, "double")
-    return same(a, b)
+def _least_bits(threshold: float) -> float:
+    """Equal bits that a pair at the threshold has but for five standard deviations; unequal values agree in half of them."""
+    p = (1 + threshold) / 2
+    return BITS * p - 5 * math.sqrt(BITS * p * (1 - p))
+
 
+_MET = "num_a bigint, num_b bigint, hot_band bigint"
 
-def _equal_share(a, b):  # noqa: ANN001, ANN202 - pandas series of bytes
-    import pandas as pd
 
-    if not len(a):
-        return pd.Series([], dtype="float64")
-    x, y = (np.frombuffer(b"".join(s), np.uint8).reshape(len(s), SKETCH) for s in (a, b))
-    return pd.Series((x == y).mean(axis=1))
+def _meet(banded: DataFrame, threshold: float) -> DataFrame:
+    """(num_a, num_b) of classes that share a band value and whose sizes allow the threshold, repeated for each such value;
+    of values with more than ``CHUNK`` classes, (num_a, hot_band) for each class instead.
 
+    The one shuffle of band values; each task reads its values in order and holds at most ``CHUNK`` classes."""
 
-def _candidates(banded: DataFrame, threshold: float) -> DataFrame:
-    """(num_a, num_b), num_a < num_b: classes that share a band value and whose sizes allow the threshold; distinct."""
-    sizes = banded.groupBy("band").agg(F.count("*").alias("m")).where(F.col("m") > 1)
-    split = banded.join(sizes, "band").withColumn("chunks", F.ceil(F.col("m") / CHUNK).cast("int"))
-    split = split.withColumn("chunk", F.pmod(F.xxhash64("num", "band"), F.col("chunks")).cast("int"))
-    # a class of chunk c meets the pairs (min(c, d), max(c, d)) for every d: of large values each two chunks have a task
-    other = F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("d")
-    split = split.select("num", "n", "band", "chunk", other).select("num", "n", "band", "chunk", F.least("chunk", "d").alias("lo"), F.greatest("chunk", "d").alias("hi"))
-    a = split.where("chunk = lo").select("band", "lo", "hi", F.col("num").alias("num_a"), F.col("n").alias("na"))
-    b = split.where("chunk = hi").select("band", "lo", "hi", F.col("num").alias("num_b"), F.col("n").alias("nb"))
-    pairs = a.join(b, ["band", "lo", "hi"]).where((F.col("num_a") != F.col("num_b")) & ((F.col("lo") != F.col("hi")) | (F.col("num_a") < F.col("num_b"))))
-    pairs = pairs.where(F.least("na", "nb") >= threshold * F.greatest("na", "nb"))
-    return pairs.select(F.least("num_a", "num_b").alias("num_a"), F.greatest("num_a", "num_b").alias("num_b")).distinct()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = tuple(np.empty(0, np.int64) for _ in range(3))  # the classes of the last value, which may go on
+        hot = None
+        for b in batches:
+            band, num, n = (np.concatenate([k, b.column(c).to_numpy()]) for c, k in enumerate(kept))
+            if len(band) == 0:
+                continue
+            starts = np.flatnonzero(np.append(True, band[1:] != band[:-1]))
+            counts = np.diff(np.append(starts, len(band)))
+            if hot is not None and band[0] != hot:
+                hot = None
+            is_hot = counts > CHUNK
+            if hot is not None:
+                is_hot[0] = True
+            if is_hot[-1]:  # its classes need not be kept
+                hot, last = band[-1], len(band)
+            else:
+                last = starts[-1]
+            kept = band[last:], num[last:], n[last:]
+            hot_rows = np.repeat(is_hot, counts)[:last]
+            yield from _met(num[:last][hot_rows], None, band[:last][hot_rows])
+            cool = ~hot_rows
+            yield from _pairs_of(band[:last][cool], num[:last][cool], n[:last][cool], threshold)
+        yield from _pairs_of(*kept, threshold)
+
+    return banded.repartition("band").sortWithinPartitions("band", "n").mapInArrow(run, _MET)
+
+
+def _met(a: np.ndarray, b: np.ndarray | None, hot: np.ndarray | None) -> Iterator[pa.RecordBatch]:
+    if len(a):
+        none = pa.nulls(len(a), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(a), none if b is None else pa.array(b), none if hot is None else pa.array(hot)], names=["num_a", "num_b", "hot_band"])
+
+
+def _pairs_of(band: np.ndarray, num: np.ndarray, n: np.ndarray, threshold: float) -> Iterator[pa.RecordBatch]:
+    """The pairs within each band value; rows are in the order of value and size."""
+    left, d, found = np.arange(len(band) - 1), 1, []
+    while len(left):
+        left = left[: np.searchsorted(left, len(band) - d)]
+        left = left[(band[left] == band[left + d]) & (n[left] >= threshold * n[left + d])]  # sizes only grow apart
+        a, b = num[left], num[left + d]
+        found.append((np.minimum(a, b), np.maximum(a, b)))
+        d += 1
+    if found:
+        pairs = np.stack([np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])])
+        pairs = pairs[:, np.lexsort(pairs)]
+        first = np.append(True, (pairs[:, 1:] != pairs[:, :-1]).any(axis=0))[: pairs.shape[1]] & (pairs[0] != pairs[1])
+        yield from _met(pairs[0][first], pairs[1][first], None)
+
+
+def _meet_hot(hot: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
+    """(num_a, num_b) of classes of one hot band value (hot_band, num_a) whose sizes and sketches allow the threshold.
+
+    The classes of a value are split into chunks and each two chunks meet in a task of their own, which puts out only the
+    pairs that the sketches let pass: neither are all pairs made anywhere, nor is a value gathered in one task."""
+    sizes = hot.groupBy("hot_band").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))
+    rows = large(hot.withColumnRenamed("num_a", "num")).join(sizes, "hot_band")
+    rows = large(rows).join(sketches, "num").withColumn("chunk", F.pmod(F.xxhash64("num", "hot_band"), F.col("chunks")).cast("int"))
+    # a class of chunk c meets the pairs (min(c, d), max(c, d)) for every d
+    rows = rows.withColumn("d", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    rows = rows.select("hot_band", F.least("chunk", "d").alias("lo"), F.greatest("chunk", "d").alias("hi"), "chunk", "num", "n", *SKETCH)
+    least = _least_bits(threshold)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def meet(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            """The rows of one pair of chunks: two chunks of some ``CHUNK`` rows each."""
+            x = np.concatenate(parts)
+            x = x[np.argsort(x[:, 5], kind="stable")]
+            for at in range(0, len(x), 64):
+                own, end = x[at : at + 64], np.searchsorted(x[:, 5], x[at : at + 64][-1, 5] / threshold + 1, "right")
+                other = x[at + 1 : end]
+                same = BITS - np.bitwise_count(own[:, None, 6:] ^ other[None, :, 6:]).sum(axis=2, dtype=np.int32)
+                fits = (same >= least) & (own[:, None, 5] >= threshold * other[None, :, 5]) & (np.arange(len(own))[:, None] <= np.arange(len(other))[None, :])
+                fits &= (own[:, None, 1] == own[:, None, 2]) | (own[:, None, 3] != other[None, :, 3])  # of unlike chunks, each with the other
+                i, j = np.nonzero(fits)
+                a, b = own[i, 4], other[j, 4]
+                yield from _two(np.minimum(a, b), np.maximum(a, b))
+
+        key, parts = None, []
+        for b in batches:
+            x = np.stack([b.column(c).cast(pa.int64()).to_numpy() for c in range(6 + LONGS)], axis=1)
+            if not len(x):
+                continue
+            starts = np.flatnonzero(np.append(True, (x[1:, :3] != x[:-1, :3]).any(axis=1)))
+            for s, e in zip(starts, [*starts[1:], len(x)]):
+                if (own := tuple(x[s, :3])) != key:
+                    if parts:
+                        yield from meet(parts)
+                    key, parts = own, []
+                parts.append(x[s:e])
+        if parts:
+            yield from meet(parts)
+
+    return rows.repartition("hot_band", "lo", "hi").sortWithinPartitions("hot_band", "lo", "hi").mapInArrow(run, "num_a bigint, num_b bigint")
+
+
+def _two(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
+    if len(a):
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["num_a", "num_b"])
 
 
 def near_duplicate_pairs(df: DataFrame, id_col: str, main: str, more: str | None = None, shingle: int = 5, min_words: int = 1, threshold: float = 0.8, recall: float = 0.999) -> DataFrame:
     """(id_a, id_b), id_a < id_b: every two different ids with records at least ``threshold`` alike.
 
-    Copies count as alike (1.0) and are expanded here; ``near_duplicate_groups`` keeps them as one class.  An id with
-    several different texts is alike where any of them is.  Records with a null id, or whose ``main`` is null, empty or
-    has fewer than ``min_words`` words, are in no pair; ``more`` may be null."""
+    Copies count as alike (1.0) and are expanded here; ``near_duplicate_groups`` keeps them as one class.  The members of
+    a large class come in chunks, and each two chunks meet under a key of their own.  An id with several different texts
+    is alike where any of them is.  Records with a null id, or whose ``main`` is null, empty or has fewer than
+    ``min_words`` words, are in no pair; ``more`` may be null."""
     members, sets = classes(df, id_col, main, more, shingle, min_words)
     links = similar_classes(sets, threshold, recall).select("class_a", "class_b")
-    sides = links.union(links.select("class_b", "class_a")).union(sets.select("class_id", "class_id"))
-    a, b = (members.select(F.col("class_id").alias(f"class_{s}"), F.col("id").alias(f"id_{s}")) for s in "ab")
-    return sides.join(a, "class_a").join(b, "class_b").where(F.col("id_a") < F.col("id_b")).select("id_a", "id_b").distinct()
+    parts = members.groupBy("class_id").agg(F.count("*").alias("m")).select("class_id", "m", F.ceil(F.col("m") / MEMBERS).cast("int").alias("parts"))
+    members = large(members).join(parts, "class_id").select("id", "class_id", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"))
+    sides = links.select("class_a", "class_b", F.lit(True).alias("two")).unionByName(parts.where("m > 1").select(F.col("class_id").alias("class_a"), F.col("class_id").alias("class_b"), F.lit(False).alias("two")))
+    for s in "ab":
+        sides = large(sides).join(parts.select(F.col("class_id").alias(f"class_{s}"), F.col("parts").alias(f"parts_{s}")), f"class_{s}")
+    sides = sides.withColumn("part_a", F.explode(F.sequence(F.lit(0), F.col("parts_a") - 1))).withColumn("part_b", F.explode(F.sequence(F.lit(0), F.col("parts_b") - 1)))
+    sides = sides.where(F.col("two") | (F.col("part_a") <= F.col("part_b"))).select("class_a", "part_a", "class_b", "part_b")
+    for s in "ab":
+        own = members.select(F.col("class_id").alias(f"class_{s}"), F.col("part").alias(f"part_{s}"), F.col("id").alias(f"id_{s}"))
+        sides = large(sides).join(own, [f"class_{s}", f"part_{s}"])
+    return sides.where(F.col("id_a") != F.col("id_b")).select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b")).distinct()
 
 
 def near_duplicate_groups(df: DataFrame, id_col: str, main: str, more: str | None = None, shingle: int = 5, min_words: int = 1, threshold: float = 0.8, recall: float = 0.999) -> DataFrame:
-    """(id, class_id, class_size, n_links): a row for each id and class, the ids with that very set, and the number of
-    other classes at least ``threshold`` alike.  Copies aren't expanded.  Nulls and short texts as above."""
+    """(id, class_id, first_id, class_size, n_links): a row for each id and class, the smallest id and the number of the ids
+    with that very set, and the number of other classes at least ``threshold`` alike.  Copies aren't expanded.  Nulls and
+    short texts as above."""
     members, sets = classes(df, id_col, main, more, shingle, min_words)
-    links = similar_classes(sets, threshold, recall).select("class_a", "class_b")
-    degree = links.union(links.select("class_b", "class_a")).groupBy(F.col("class_a").alias("class_id")).agg(F.count("*").alias("n_links"))
-    size = members.groupBy("class_id").agg(F.count("*").alias("class_size"))
-    return members.join(size.join(degree, "class_id", "left"), "class_id").select("id", "class_id", "class_size", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    links = similar_classes(sets, threshold, recall)
+    degree = links.select(F.explode(F.array("class_a", "class_b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("n_links"))
+    size = members.groupBy("class_id").agg(F.count("*").alias("class_size"), F.min("id").alias("first_id"))
+    about = large(size).join(degree, "class_id", "left")
+    return large(members).join(about, "class_id").select("id", "class_id", "first_id", "class_size", F.coalesce("n_links", F.lit(0)).alias("n_links"))

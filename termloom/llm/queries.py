@@ -44,7 +44,8 @@ def p3_found(spark: SparkSession, base: str) -> DataFrame:
 
 
 def p3_groups(spark: SparkSession, base: str) -> DataFrame:
-    return near_dup.near_duplicate_groups(table(spark, base, "vacancy"), "id", **P3)
+    groups = near_dup.near_duplicate_groups(table(spark, base, "vacancy"), "id", **P3)
+    return groups.select("id", F.col("first_id").alias("class_id"), "class_size", "n_links")
 
 
 def p4_found(spark: SparkSession, base: str) -> DataFrame:
@@ -132,6 +133,8 @@ def oracle_sql() -> dict[str, str]:
         "p1_found": f"WITH {_TERMS} SELECT field_name, term, 'rare' AS mark FROM marked WHERE is_rare UNION ALL SELECT field_name, term, 'common' FROM marked WHERE is_common",
         "p1_counts": f"WITH {_TERMS} SELECT field_name, term, occurrences, records, total_records, is_rare, is_common FROM marked",
         "p3_found": f"WITH {_ALIKE} SELECT DISTINCT a.id AS id_a, b.id AS id_b FROM links l JOIN m a ON a.i = l.i JOIN m b ON b.i = l.j WHERE a.id < b.id",
+        "p3_groups": f"""WITH {_ALIKE}, c AS (SELECT i, min(id) AS class_id, count(*) AS class_size FROM m GROUP BY i), d AS (SELECT i, count(*) - 1 AS n_links FROM links GROUP BY i)
+            SELECT id, class_id, class_size, n_links FROM m JOIN c USING (i) JOIN d USING (i)""",
         "p5_found": f"WITH {_TERMS}, {_GRAM} SELECT a AS skill_a, b AS skill_b FROM pairs",
         "p5_pairs": f"WITH {_TERMS}, {_GRAM} SELECT a AS item_a, b AS item_b, n_ab, n_a, n_b, n, n_ab * n::DOUBLE / n_a / n_b AS lift FROM pairs",
     }

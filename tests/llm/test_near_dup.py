@@ -51,6 +51,34 @@ def test_hot_band_values_are_split(spark, monkeypatch):
     assert got == brute(rows, 0.8, 1, 1) and len(got) == 40 * 39 // 2
 
 
+def test_large_classes_are_split(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "MEMBERS", 3)
+    text = " ".join(f"w{k}" for k in range(30))
+    rows = [(f"{k:02d}", text, None) for k in range(14)] + [(f"x{k}", text + " more", None) for k in range(5)]
+    got = pairs(spark, rows, threshold=0.8, shingle=1)
+    assert got == brute(rows, 0.8, 1, 1) and len(got) == 19 * 18 // 2
+
+
+def test_band_values_that_fill_several_batches(spark):
+    n = near_dup.CHUNK + 300
+    rows = spark.range(n).selectExpr("1L AS band", "id AS num", "10 AS n").union(spark.range(3).selectExpr("id * 2 AS band", "id + 7 AS num", "5 AS n")).union(spark.range(2).selectExpr("2L AS band", "id AS num", "6 AS n"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    try:
+        met = near_dup._meet(rows, 0.6).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(r.num_a for r in met if r.hot_band == 1) == [*range(n)]
+    assert {(r.num_a, r.num_b) for r in met if r.hot_band is None} == {(0, 1), (0, 8), (1, 8)}
+
+
+def test_nothing_that_grows_is_broadcast(spark):
+    df = spark.createDataFrame(corpus(20), SCHEMA)
+    for make in (near_dup.near_duplicate_pairs, near_dup.near_duplicate_groups):
+        out = make(df, "id", "body", "title", shingle=1, threshold=0.6)
+        out.collect()
+        assert "Broadcast" not in out._jdf.queryExecution().toString()
+
+
 def test_copies_are_one_class(spark):
     text = " ".join(f"w{k}" for k in range(30))
     rows = [(str(k), text, None) for k in range(5)] + [("x", text + " more", None), ("y", " ".join(f"z{k}" for k in range(30)), None)]
@@ -69,6 +97,7 @@ def test_nulls_short_long_and_repeated(spark):
 
 
 def test_words_and_mark_up():
+    assert near_dup.words("İ one <!-- no --> two <SCRIPT>three</script> four") == ["i\u0307"[:1], "one", "two", "four"]
     assert near_dup.words("<p>A&amp;B<br>c</p><!-- no --><script>var x</script>Ёж_2") == ["a", "b", "c", "ёж", "2"]
     near_dup.words("<!--" * 50_000 + "<" * 50_000)  # linear
 
