@@ -57,7 +57,10 @@ def compile_matcher(matcher: Matcher) -> Callable[[str | None], list[str]]:
 
 
 def skills_in_text(col: Column, dictionary: dict[str, str] | Iterable[str]) -> Column:
-    """array<string>: canonical skills found in a text, longest alias first; empty for null and empty texts (Arrow UDF)."""
+    """array<string>: canonical skills found in a text, longest alias first; empty for null and empty texts (Arrow UDF).
+
+    It is declared non-deterministic, so that the optimiser doesn't copy it: a filter on the result, such as that which an
+    explode implies, would run it a second time for each text."""
     matcher, made = Matcher.of(dictionary), []
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
@@ -66,7 +69,7 @@ def skills_in_text(col: Column, dictionary: dict[str, str] | Iterable[str]) -> C
             made.append(compile_matcher(matcher))
         return texts.map(made[0], na_action=None)
 
-    return run(col)
+    return run.asNondeterministic()(col)
 
 
 def skills_in_text_native(col: Column, dictionary: dict[str, str] | Iterable[str]) -> Column:

@@ -45,15 +45,23 @@ def first_passing(rows: DataFrame, passes: Column, columns: list[str] | None = N
 
 def limit_per_query(rows: DataFrame, limit: int, source: str = "html") -> DataFrame:
     """The first rows of each query: exactly ``limit`` of a source of pages, whole pages of 100 of the structured one;
-    with ``auto`` a query with any row from a page counts as the first."""
+    with ``auto`` a query with any row from a page counts as the first.
+
+    Each task keeps its own first rows of a query before the shuffle, however large the limit: the session's threshold for
+    that is raised where it is lower."""
     if limit <= 0:
         raise ValueError("limit must be positive")
     pages = -(-limit // API_PAGE) * API_PAGE
-    k = F.lit(limit if source == "html" else pages)
-    if source == "auto":
-        k = F.when(F.max(F.col("_source") == "html").over(Window.partitionBy("query_ord")), limit).otherwise(pages)
+    most = limit if source == "html" else pages
+    conf, name = rows.sparkSession.conf, "spark.sql.optimizer.windowGroupLimitThreshold"
+    if int(conf.get(name)) < most:
+        conf.set(name, str(most))
     order = Window.partitionBy("query_ord").orderBy("pos", "id")
-    return rows.withColumn("__n", F.row_number().over(order)).withColumn("__k", k).where(F.col("__n") <= F.col("__k")).drop("__n", "__k")
+    first = rows.withColumn("__n", F.row_number().over(order)).where(F.col("__n") <= most)
+    if source == "auto":
+        by_page = rows.groupBy("query_ord").agg(F.max(F.coalesce(F.col("_source") == "html", F.lit(False))).alias("__html"))  # a row a query
+        first = first.join(by_page, "query_ord").where(~F.col("__html") | (F.col("__n") <= limit)).drop("__html")
+    return first.select(*[F.col(f"`{c}`") for c in rows.columns])
 
 
 def until_empty_page(pages: DataFrame) -> DataFrame:
@@ -65,11 +73,13 @@ def until_empty_page(pages: DataFrame) -> DataFrame:
 def latest_details(details: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """One detail row an id: a structured one before one of a page, then the last fetched; ties by the smallest content.
 
-    ``columns`` are those wanted beside id, _source and fetched_at: only they are read and moved."""
+    ``columns`` are those wanted beside id, _source and fetched_at: only they are read and moved.  Each task keeps one row
+    of an id before the shuffle."""
     content = sorted(c for c, k in details.dtypes if c not in ("id", "_source", "fetched_at") and not k.startswith("map") and (columns is None or c in columns))
-    best = F.struct((F.col("_source") == "html").alias("h"), (-F.coalesce(F.unix_micros(F.col("fetched_at").cast("timestamp")), F.lit(0))).alias("f"), *content, "_source", "fetched_at")
-    rows = details.where(F.col("id").isNotNull()).groupBy("id").agg(F.min(best).alias("r"))
-    return rows.select(*[F.col("id") if c == "id" else F.col(f"r.{c}").alias(c) for c in details.columns if c == "id" or c in (*content, "_source", "fetched_at")])
+    order = [F.coalesce(F.col("_source") == "html", F.lit(False)), F.desc_nulls_last("fetched_at"), *[F.col(f"`{c}`") for c in content], F.col("_source")]
+    wanted = [c for c in details.columns if c in ("id", *content, "_source", "fetched_at")]
+    rows = details.where(F.col("id").isNotNull()).select(*[F.col(f"`{c}`") for c in wanted])
+    return rows.withColumn("__n", F.row_number().over(Window.partitionBy("id").orderBy(*order))).where("__n = 1").drop("__n")
 
 
 def with_details(rows: DataFrame, details: DataFrame) -> DataFrame:

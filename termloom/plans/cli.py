@@ -6,12 +6,17 @@ import logging
 import os
 import sys
 
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termloom.operators.pages import listings_of_pages
 from termloom.plans import pipeline
-from termloom.plans.settings import parse, parser, split_command
+from termloom.plans.settings import Settings, parse, parser, split_command
 from termloom.session import build_session
 from termloom.sinks.files import chart_from_result, save_chart, save_result_file, write_result
+from termloom.sources import collect
+from termloom.sources.files import load_dictionary, load_queries
+from termloom.sources.pages import ProxyUnavailable, RequestFailed
 
 log = logging.getLogger("termloom")
 
@@ -21,8 +26,26 @@ def print_help() -> None:
     parser().print_help()
 
 
+def _run(spark: SparkSession, settings: Settings) -> DataFrame:
+    saved = settings.output.rstrip("/") + ".progress"
+    how = {"mode": settings.mode, "html_fallback": settings.html_description_fallback, "limit": settings.vacancies_limit, "source": settings.source, "save_every": settings.save_every, "strict": settings.strict_resume}
+    if not settings.pages:
+        return pipeline.run_saved(spark, settings.input, saved, **how)
+    queries = load_queries(spark, settings.phrases).withColumnRenamed("query", "query_text")
+    listings, details = (os.path.join(settings.pages, x) for x in ("listings", "details"))
+    if settings.fetch:
+        fetcher = collect.load_fetcher(settings.fetch, settings)
+        phrases = [(r.query_ord, r.query_text) for r in queries.orderBy("query_ord").collect()]
+        collect.collect_listings(fetcher, phrases, settings, listings)
+        listed = listings_of_pages(collect.stored_listing_pages(spark, listings), settings.vacancies_limit, settings.source)
+        rows = pipeline.selected(listed.where("id is not null"), queries, columns=["alternate_url", "_source"]).orderBy("query_ord", "pos")
+        collect.collect_details(fetcher, ((r.id, r.alternate_url, r["_source"]) for r in rows.toLocalIterator()), settings, details)
+    aliases = load_dictionary(spark, settings.dictionary)
+    return pipeline.run_pages(spark, collect.stored_listing_pages(spark, listings), collect.stored_detail_pages(spark, details), queries, aliases, saved, **how)
+
+
 def main(argv: list[str] | None = None) -> int:
-    """0 for success, 2 where a chart can't be made."""
+    """0 for success, 1 where the source or the proxy ends the run, 2 where a chart can't be made."""
     command, options = split_command(sys.argv[1:] if argv is None else argv)
     if command == "help":
         print_help()
@@ -38,11 +61,13 @@ def main(argv: list[str] | None = None) -> int:
             log.error("%s", e)
             return 2
         return 0
-    if not settings.input:
-        raise SystemExit("--input is needed: the folder of the tables")
-    ranked = pipeline.run_saved(
-        spark, settings.input, settings.output.rstrip("/") + ".progress", settings.mode, settings.html_description_fallback, settings.vacancies_limit, settings.source, settings.save_every, settings.strict_resume
-    )
+    if not settings.input and not settings.pages:
+        raise SystemExit("--input, the folder of the tables, or --pages, that of stored pages, is needed")
+    try:
+        ranked = _run(spark, settings)
+    except (ProxyUnavailable, RequestFailed) as e:
+        log.critical("%s; the run ends", e)
+        return 1
     if settings.output.endswith(".csv"):
         rows = [(r.skill, r["count"]) for r in ranked.orderBy("rank").select("skill", "count").toLocalIterator()]  # a named file is for results of a file's size
         save_result_file(rows, settings.output)

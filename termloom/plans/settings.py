@@ -13,6 +13,7 @@ COMMANDS = ("help", "run", "chart")
 TRUE = frozenset("1 true yes on".split())
 
 
+# The names of the options and their defaults are the interface.
 @dataclass
 class Settings:
     output: str = "skills.csv"
@@ -36,6 +37,10 @@ class Settings:
     no_dotenv: bool = False
     input: str | None = None
     strict_resume: bool = field(default=False)
+    pages: str | None = None
+    phrases: str = "queries.txt"
+    dictionary: str = "skills_whitelist.txt"
+    fetch: str | None = None
 
     def check(self) -> Settings:
         """The settings, or ``ValueError`` for what can't be."""
@@ -72,6 +77,10 @@ def bootstrap(argv: list[str]) -> tuple[str, bool]:
     return known.env_file, known.no_dotenv
 
 
+def _absolute(path: str) -> str:
+    return path if "://" in path else os.path.abspath(path)
+
+
 def parser() -> argparse.ArgumentParser:
     d, env = Settings(), os.environ.get
     flag = lambda name: (env(name) or "").lower() in TRUE
@@ -94,6 +103,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--env-file", default=d.env_file)
     p.add_argument("--no-dotenv", action="store_true")
     p.add_argument("--input", help="folder of the listings, vacancy, search_queries and skills_whitelist tables")
+    p.add_argument("--pages", type=_absolute, help="folder of stored pages (listings, details) to run from in place of tables")
+    p.add_argument("--phrases", default=d.phrases, help="file of search phrases, for a run from pages")
+    p.add_argument("--dictionary", default=d.dictionary, help="file of skills and their other names, for a run from pages")
+    p.add_argument("--fetch", help="module:function that makes a fetcher; missing pages are collected with it first, with the region, proxy, user agent, time limit and delays given here")
     p.add_argument("--strict-resume", action="store_true", help="resume only with the same dictionary, source and limit too")
     return p
 

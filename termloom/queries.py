@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +12,10 @@ from termloom.functions import html as pages
 from termloom.functions import text
 from termloom.functions.dictionary import collect_dictionary, conflicts
 from termloom.operators import counts, extract, listing
+from termloom.operators import pages as stored
 from termloom.plans import pipeline
+from termloom.session import checkpointed, scratch
+from termloom.sinks.files import write_result, write_runs
 from termloom.sources.files import load_result
 from termloom.sources.tables import table
 from termloom.streaming import progress
@@ -249,41 +251,60 @@ def resume_merge(spark: SparkSession, base: str) -> DataFrame:
     return counts.resumed(_counted(spark, base), saved).select("skill", "count")
 
 
-@query("SELECT run_id, trim(skill) AS skill, max_by(skill_count, line_no)::BIGINT AS count FROM top_skills_all_data WHERE skill_count IS NOT NULL AND trim(skill) <> '' GROUP BY 1, 2")
+@query(f"SELECT run_id, {_STRIP('skill')} AS skill, max_by(skill_count, line_no)::BIGINT AS count FROM top_skills_all_data WHERE run_id IS NOT NULL AND skill_count IS NOT NULL AND {_STRIP('skill')} <> '' GROUP BY 1, 2")
 def result_last_wins(spark: SparkSession, base: str) -> DataFrame:
-    rows = table(spark, base, "top_skills_all_data").where("skill_count is not null").withColumn("skill", F.trim("skill")).where("skill <> ''")
-    return rows.groupBy("run_id", "skill").agg(F.max_by("skill_count", "line_no").alias("count"))
-
-
-def _scratch(spark: SparkSession, name: str) -> str:
-    """A new folder where all executors can write."""
-    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or os.path.join("/tmp", "termloom-scratch")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    rows = table(spark, base, "top_skills_all_data").where("run_id is not null and skill_count is not null and skill is not null")
+    with scratch(spark, "results") as path:
+        write_runs(rows.select("run_id", "line_no", F.col("skill_count").alias("count"), "skill"), path)
+        return load_result(spark, path, by="run_id").select(F.col("run_id").cast("bigint").alias("run_id"), "skill", "count")
 
 
 @query(f"WITH {_RANKED} SELECT skill, count FROM counted WHERE {_STRIP('skill')} <> ''")
 def csv_round_trip(spark: SparkSession, base: str) -> DataFrame:
-    path = _scratch(spark, "result")
-    rows = _counted(spark, base).select(F.col("count").alias("Count"), F.col("skill").alias("Skill"))
-    rows.write.option("header", True).option("lineSep", "\r\n").option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
-    return load_result(spark, path).select("skill", "count")
+    with scratch(spark, "result") as path:
+        write_result(counts.ranked(_counted(spark, base)), path)
+        return load_result(spark, path).select("skill", "count")
 
 
-@query(f"WITH full_ AS (SELECT DISTINCT id, key_skills FROM vacancy WHERE len(key_skills) > 0 AND id IS NOT NULL), {_NAMES('full_')} SELECT skill, count(DISTINCT id)::BIGINT AS count FROM names GROUP BY skill")
+@query(f"WITH {_LATEST}, {_NAMES('latest')} SELECT skill, count(*)::BIGINT AS count FROM names GROUP BY skill")
 def streaming_skill_freq(spark: SparkSession, base: str) -> DataFrame:
     path = f"{base.rstrip('/')}/vacancy.parquet"
     schema = spark.read.parquet(path).schema
     reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", 4)
     whole = os.path.isfile(path)
     rows = reader.option("pathGlobFilter", "vacancy.parquet").parquet(base) if whole else reader.parquet(path)
-    state = progress.State(spark, _scratch(spark, "state"))
+    with scratch(spark, "stream") as folder:
+        state = progress.State(spark, f"{folder}/state")
+        progress.count_stream(rows, _named_skills, state, f"{folder}/checkpoint").awaitTermination()
+        return checkpointed(state.counts().select("skill", "count"))
+
+
+def _named_skills(details: DataFrame) -> DataFrame:
+    """The skills of the records of one batch; of each id its best row there, with or without skills."""
+    own = listing.latest_details(details, ["key_skills"])
+    return own.select("id", F.lit(0).alias("query_ord"), F.lit(0).alias("pos"), extract.unique_skills(extract.key_skill_names(F.col("key_skills"))).alias("skills"))
+
+
+@query(f"WITH {_LATEST}, {_NAMES('latest')} SELECT latest.id, count(skill)::BIGINT AS n_skills FROM latest LEFT JOIN names ON names.id = latest.id GROUP BY latest.id")
+def zero_skill_rows_processed(spark: SparkSession, base: str) -> DataFrame:
+    skills = checkpointed(_named_skills(table(spark, base, "vacancy")))
+    with scratch(spark, "state") as folder:
+        state = progress.State(spark, folder)
+        state.add(skills, 0)
+        return checkpointed(state.processed().join(skills, "id").select("id", F.size("skills").cast("bigint").alias("n_skills")))
 
-    def skills(df: DataFrame) -> DataFrame:
-        own = df.where("id is not null and size(key_skills) > 0")
-        return own.select("id", F.lit(0).alias("query_ord"), F.lit(0).alias("pos"), extract.unique_skills(extract.key_skill_names(F.col("key_skills"))).alias("skills"))
 
-    progress.count_stream(rows, skills, state, _scratch(spark, "checkpoint")).awaitTermination()
-    return state.counts().select("skill", "count")
+@query(f"WITH {_RANKED} SELECT rank, skill, count FROM ranked")
+def resume_split_equals_full(spark: SparkSession, base: str) -> DataFrame:
+    details, queries = _latest(spark, base, "key_skills"), _queries(spark, base)
+    work = lambda own: pipeline.skills_of(own, details, {}, "key-skills")
+    listings = table(spark, base, "listings")
+    with scratch(spark, "state") as folder:
+        state = progress.State(spark, folder)
+        began = pipeline.selected(listings, queries, columns=[]).where("query_ord < 24")  # where the first run was interrupted
+        pipeline.saved_counts(state, began, work, 1000)
+        rest = pipeline.selected(listings, queries, state.processed(), columns=[])
+        return checkpointed(pipeline.saved_counts(state, rest, work, 1000).select("rank", "skill", "count"))
 
 
 # ---- pages --------------------------------------------------------------------------------------------------------
@@ -314,9 +335,9 @@ def html_search_results(spark: SparkSession, base: str) -> DataFrame:
     return rows.select("query_ord", "pos", F.explode(pages.listing_rows(page)).alias("r")).select("query_ord", "pos", "r.id", "r.name")
 
 
-@query("SELECT DISTINCT id, regexp_extract(alternate_url, '/vacancy/(\\d+)', 1) AS url_id FROM listings WHERE alternate_url IS NOT NULL")
+@query("SELECT DISTINCT id, regexp_extract(alternate_url, '/vacancy/(\\d+)', 1) AS url_id FROM listings")
 def url_id_extract(spark: SparkSession, base: str) -> DataFrame:
-    return table(spark, base, "listings").where("alternate_url is not null").select("id", pages.vacancy_id(F.col("alternate_url")).alias("url_id")).distinct()
+    return table(spark, base, "listings").select("id", pages.vacancy_id(F.col("alternate_url")).alias("url_id")).distinct()
 
 
 @query(f"""WITH {_LATEST} SELECT id, e.name AS skill, count(*)::BIGINT AS n FROM (SELECT id, unnest(key_skills) AS e FROM latest) WHERE e.name <> '' GROUP BY 1, 2""")
@@ -333,6 +354,60 @@ def html_detail_page(spark: SparkSession, base: str) -> DataFrame:
     return rows.select("id", pages.detail_of(page, F.col("name")).alias("d")).select("id", "d.name", text.strip(F.col("d.description")).alias("description"))
 
 
+BLOCKED_FROM = 20  # the query at which the structured source is blocked in the stored pages
+
+
+def _listing_pages(spark: SparkSession, base: str) -> DataFrame:
+    """The listings as stored pages: of 100 rows as JSON, of 20 as mark-up; the source of JSON is blocked at one query."""
+    rows = table(spark, base, "listings").where("id is not null").select("query_ord", "pos", "id", "name").distinct()
+    link = F.concat(F.lit('<a data-qa="serp-item__title" href="/vacancy/'), "id", F.lit('"><span>'), F.coalesce(_escaped("name"), F.lit("")), F.lit("</span></a>"))
+    page = lambda n: F.floor(F.col("pos") / n).cast("int").alias("page")
+    hits = F.array_sort(F.collect_list(F.struct("pos", "id", "name", link.alias("link"))))  # the rows of a page
+    refused = F.col("query_ord") == BLOCKED_FROM
+    api = rows.groupBy("query_ord", page(100)).agg(hits.alias("h")).select("query_ord", "page", F.lit("api").alias("source"), F.when(refused, 403).otherwise(200).alias("status"), F.when(refused, "ddos-guard").alias("server"), F.when(~refused, F.to_json(F.struct(F.transform("h", lambda x: F.struct(x["id"].alias("id"), x["name"].alias("name"))).alias("items")))).alias("body"))
+    html = rows.groupBy("query_ord", page(20)).agg(hits.alias("h")).select("query_ord", "page", F.lit("html").alias("source"), F.lit(200).alias("status"), F.lit(None).cast("string").alias("server"), F.concat(F.lit("<html><body>"), F.array_join(F.transform("h", lambda x: x["link"]), "<br>"), F.lit("</body></html>")).alias("body"))
+    return api.unionByName(html)
+
+
+def _detail_pages(spark: SparkSession, base: str) -> DataFrame:
+    """The details as stored pages: all as mark-up; as JSON those of the structured source, which refuses the others."""
+    rows = _latest(spark, base, "name", "description", "key_skills")
+    structured, none = F.col("_source") == "api", F.lit(None).cast("string")
+    page = F.concat(F.lit('<html><h1 data-qa="vacancy-title">'), F.coalesce(_escaped("name"), F.lit("")), F.lit('</h1><script>{"keySkills":'), F.coalesce(F.to_json("key_skills"), F.lit("null")), F.lit(',"driverLicenseTypes":[]}</script><div data-qa="vacancy-description">'), F.coalesce("description", F.lit("")), F.lit("</div></html>"))
+    api = rows.select("id", F.lit("api").alias("source"), F.when(structured, 200).otherwise(403).alias("status"), F.when(~structured, "ddos-guard").alias("server"), F.when(structured, F.to_json(F.struct("name", "description", "key_skills"))).alias("body"))
+    return api.unionByName(rows.select("id", F.lit("html").alias("source"), F.lit(200).alias("status"), none.alias("server"), page.alias("body")))
+
+
+_READ = f"""hits AS (SELECT DISTINCT query_ord, pos, id, name, CASE WHEN query_ord < {BLOCKED_FROM} THEN pos // 100 ELSE pos // 20 END AS page FROM listings WHERE id IS NOT NULL),
+    seen AS (SELECT query_ord, page, row_number() OVER (PARTITION BY query_ord ORDER BY page) - 1 AS r FROM (SELECT DISTINCT query_ord, page FROM hits)),
+    listed AS (SELECT query_ord, page, pos, id, name, row_number() OVER (PARTITION BY query_ord, page, id ORDER BY pos, name NULLS FIRST) AS k FROM hits JOIN seen USING (query_ord, page)
+        WHERE r = page AND page < CASE WHEN query_ord < {BLOCKED_FROM} THEN 20 ELSE 100 END),
+    l AS (SELECT * FROM listed WHERE query_ord < {BLOCKED_FROM} OR k = 1)"""
+
+
+@query(f"WITH {_READ} SELECT query_ord, CASE WHEN query_ord < {BLOCKED_FROM} THEN 'api' ELSE 'html' END AS source, count(*)::BIGINT AS n_rows FROM l GROUP BY query_ord")
+def auto_source_switch(spark: SparkSession, base: str) -> DataFrame:
+    rows = stored.listings_of_pages(_listing_pages(spark, base), 2000)
+    return rows.groupBy("query_ord", F.col("_source").alias("source")).agg(F.count("*").alias("n_rows"))
+
+
+@query(
+    f"""WITH {_LATEST}, src AS (SELECT id, max(_source) AS s FROM listings WHERE id IS NOT NULL GROUP BY id)
+    SELECT src.id, CASE WHEN s = 'html' OR v._source = 'html' THEN 'html' ELSE 'api' END AS used, nullif({_STRIP('v.name')}, '') AS name, CASE WHEN v.id IS NULL THEN 'no page' END AS error FROM src LEFT JOIN latest v ON v.id = src.id"""
+)
+def detail_from_pages(spark: SparkSession, base: str) -> DataFrame:
+    rows = table(spark, base, "listings").where("id is not null").groupBy("id").agg(F.max("_source").alias("_source")).withColumn("name", F.lit(None).cast("string"))
+    found = stored.details_of_pages(rows, _detail_pages(spark, base))
+    return found.select("id", "used", F.nullif(text.strip(F.col("detail.name")), F.lit("")).alias("name"), "error")
+
+
+@query(f"WITH {_READ}, {_LATEST}, {_NAMES('latest')}, ids AS (SELECT DISTINCT l.id FROM l JOIN search_queries q ON l.query_ord = q.query_ord WHERE {_MATCH}) SELECT skill, count(*)::BIGINT AS count FROM names JOIN ids USING (id) GROUP BY skill")
+def run_from_pages(spark: SparkSession, base: str) -> DataFrame:
+    with scratch(spark, "state") as folder:
+        ranked = pipeline.run_pages(spark, _listing_pages(spark, base), _detail_pages(spark, base), _queries(spark, base), table(spark, base, "skills_whitelist"), folder, save_every=1000)
+        return checkpointed(ranked.select("skill", "count"))
+
+
 # ---- names, phrases, dictionary -----------------------------------------------------------------------------------
 
 

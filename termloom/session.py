@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +21,7 @@ def build_session(app: str = "termloom", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }.items():
         b = b.config(k, v)
@@ -37,15 +41,32 @@ def large(df: DataFrame) -> DataFrame:
     return df.hint("merge")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names.  Where it is unset a folder of this machine is used in local mode
+    (tests, a laptop); elsewhere, where executors couldn't read each other's files, that is an error."""
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    return os.path.join(tempfile.gettempdir(), "termloom-checkpoints")
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[str]:
+    """A new folder where all executors can write; it is deleted at the end."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    try:
+        yield path
+    finally:
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows of ``df``, written once to the checkpoint folder that all executors share, so that a lost executor costs
-    no recomputation and two readers cost one run.
-
-    The folder is what ``spark.checkpoint.dir`` names; only where that is unset (tests, a laptop) a folder of this
-    machine is used.
-    """
-    spark = df.sparkSession
-    sc = spark.sparkContext
+    no recomputation and two readers cost one run."""
+    sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or os.path.join(tempfile.gettempdir(), "termloom-checkpoints"))
+        sc.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint()

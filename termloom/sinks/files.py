@@ -17,7 +17,19 @@ log = logging.getLogger(__name__)
 def write_result(ranked: DataFrame, path: str) -> None:
     """A folder of ``Count,Skill`` part files in rank order: ranges of ranks, so that no task writes everything."""
     rows = ranked.repartitionByRange("rank").sortWithinPartitions("rank").select(F.col("count").alias("Count"), F.col("skill").alias("Skill"))
-    rows.write.mode("overwrite").option("header", True).option("lineSep", "\r\n").option("escape", '"').csv(path)
+    _as_csv(rows).csv(path)
+
+
+def _as_csv(rows: DataFrame):  # noqa: ANN202
+    """A writer of result files, of which no character is changed by writing and reading."""
+    out = rows.write.mode("overwrite").option("header", True).option("lineSep", "\r\n").option("escape", '"')
+    return out.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+
+
+def write_runs(rows: DataFrame, path: str) -> None:
+    """Result files of many runs, rows (run_id, line_no, count, skill): a folder ``run_id=...`` a run, its lines in order."""
+    own = rows.repartition("run_id").sortWithinPartitions("run_id", "line_no").select("run_id", F.col("count").alias("Count"), F.col("skill").alias("Skill"))
+    _as_csv(own).partitionBy("run_id").csv(path)
 
 
 def save_result_file(rows: list[tuple[str, int]], path: str) -> None:
@@ -62,6 +74,8 @@ def save_chart(rows: list[tuple[str, int]], n: int, path: str) -> bool:
     axes.bar_label(bars, padding=3)
     axes.invert_yaxis()
     axes.set_xlabel("Count")
+    axes.set_ylabel("Skill")
+    axes.set_title(f"Top {len(head)} skills")
     figure.tight_layout()
     figure.savefig(path, dpi=150)
     pyplot.close(figure)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import logging
 import os
+import re
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,9 +14,10 @@ from pyspark.sql import types as T
 
 from termloom.functions.dictionary import parse_alias_lines
 from termloom.functions.text import PYTHON_SPACE, strip
+from termloom.session import checkpointed
 
 log = logging.getLogger(__name__)
-#: What a missing file is created with.
+#: What a missing file is created with.
 QUERY_TEMPLATE = "# one search phrase a line\nai wizard intern\nпопутчик по легаси\n"
 SKILL_TEMPLATE = "# canonical name | other name | other name\npython\nkubernetes | k8s\nтерпение к легаси\n"
 QUERIES = T.StructType([T.StructField("query_ord", T.IntegerType(), False), T.StructField("query", T.StringType(), False)])
@@ -60,14 +62,16 @@ def load_dictionary(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame([(i, a, c) for i, (a, c) in enumerate(pairs.items())], ALIASES)
 
 
-def load_result(spark: SparkSession, path: str) -> DataFrame:
+def load_result(spark: SparkSession, path: str, by: str | None = None) -> DataFrame:
     """(skill, count, line): a result file read again; of a repeated skill the last count, at its first place.
 
+    ``by`` names the part of the folder's names (``run_id=...``) that tells results of several runs apart; it comes first.
     Other columns, or counts that are no whole numbers, raise when the rows are read; blank skills are left out.
     A file without rows raises ``ValueError``."""
-    rows = spark.read.csv(path, schema=RESULT, header=True, mode="FAILFAST", enforceSchema=False, quote='"', escape='"', multiLine=True)
-    rows = rows.select("Count", strip(F.col("Skill"), PYTHON_SPACE).alias("skill"), F.struct(F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("row")).alias("line")).where("skill is not null and skill <> ''")
-    out = rows.groupBy("skill").agg(F.max_by("Count", "line").alias("count"), F.min("line").alias("line"))
+    lines = spark.read.csv(path, schema=RESULT, header=True, mode="FAILFAST", enforceSchema=False, quote='"', escape='"', multiLine=True)
+    run = [F.regexp_extract(F.col("_metadata.file_path"), f"/{by}=([^/]*)/", 1).alias(by)] if by else []
+    lines = lines.select(*run, "Count", strip(F.col("Skill"), PYTHON_SPACE).alias("skill"), F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row")).alias("line")).where("skill is not null and skill <> ''")
+    out = checkpointed(lines.groupBy(*([by] if by else []), "skill").agg(F.max_by("Count", "line").alias("count"), F.min("line").alias("line")))
     if out.isEmpty():
         raise ValueError(f"{path} has no skills")
     return out
@@ -81,22 +85,25 @@ def load_progress(path: str) -> dict:
         return json.load(f)
 
 
+#: A line of an environment file: a name, an equals sign and a value, perhaps quoted.
+_ASSIGNMENT = re.compile(r"""^\s*(?P<key>[^#=\s][^=]*?)\s*=\s*(?:(?P<quote>["'])(?P<quoted>.*)(?P=quote)|(?P<plain>.*?))\s*$""")
+
+
+def read_env(text: str) -> dict[str, str]:
+    """The pairs of an environment file; other lines than blank ones and comments are reported and left out."""
+    pairs = {}
+    for number, line in enumerate(text.splitlines(), 1):
+        if m := _ASSIGNMENT.match(line):
+            pairs[m["key"]] = m["plain"] if m["quote"] is None else m["quoted"]
+        elif line.strip() and not line.lstrip().startswith("#"):
+            log.warning("line %d of the environment file is no assignment", number)
+    return pairs
+
+
 def load_env_file(path: str, override: bool = False) -> bool:
-    """Sets variables from KEY=VALUE lines; what is set already stays unless ``override``.  Whether the file exists."""
+    """Sets the variables of a file; what is set already stays unless ``override``.  Whether the file exists."""
     if not os.path.exists(path):
         return False
-    with open(path, encoding="utf-8") as f:
-        for number, raw in enumerate(f, 1):
-            line = raw.strip()
-            if not line or line.startswith("#"):
-                continue
-            key, equals, value = line.partition("=")
-            key, value = key.strip(), value.strip()
-            if not equals or not key:
-                log.warning("%s, line %d: not KEY=VALUE", path, number)
-                continue
-            if len(value) > 1 and value[0] == value[-1] and value[0] in "\"'":
-                value = value[1:-1]
-            if override or key not in os.environ:
-                os.environ[key] = value
+    pairs = read_env(Path(path).read_text(encoding="utf-8"))
+    os.environ.update(pairs if override else {k: v for k, v in pairs.items() if k not in os.environ})
     return True

@@ -7,6 +7,7 @@ where reading stops, how a failed request is repeated and when a run changes fro
 from __future__ import annotations
 
 import json
+import logging
 import random
 import time
 from collections.abc import Callable, Iterator
@@ -16,6 +17,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+log = logging.getLogger(__name__)
+#: Rows of a page, and rows that the structured source gives at most.
 API_PAGE, API_MOST, HTML_PAGE = 100, 2000, 20
 ROWS = "query_ord int, page int, pos int, id string, name string, alternate_url string, _source string"
 
@@ -77,9 +80,11 @@ def polite_pause(least: float, most: float, sleep: Callable[[float], None] = tim
 
 
 def pages_for(limit: int, source: str) -> int:
-    """Pages that a limit of rows takes; the structured source gives 2000 rows at most."""
+    """Pages that a limit of rows takes; the structured source gives 2000 rows at most, which a warning says."""
     if limit <= 0:
         raise ValueError("limit must be positive")
+    if source == "api" and limit > API_MOST:
+        log.warning("the structured source gives %d rows at most, not %d", API_MOST, limit)
     size = API_PAGE if source == "api" else HTML_PAGE
     return -(-(min(limit, API_MOST) if source == "api" else limit) // size)
 

@@ -31,7 +31,7 @@ def test_flagship(spark):
 
 
 @needs_data
-@pytest.mark.parametrize("name", [n for n in core.QUERIES if "skill_doc" not in n and "skills_per" not in n and "freq_by" not in n])
+@pytest.mark.parametrize("name", [*core.QUERIES])
 def test_core_queries_match_their_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
@@ -46,6 +46,30 @@ def test_core_queries_match_their_sql(spark, name):
     assert got == sorted(repr(tuple(r[i] for i in at)) for r in rel.fetchall())
 
 
+@needs_data
+@pytest.mark.parametrize("name", ["skill_doc_freq", "skills_per_document", "skill_freq_by_lang", "description_skills", "both_mode_merge"])
+def test_texts_are_searched_once(spark, name):
+    plan = core.QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    evaluated = [line for line in plan.splitlines() if "ArrowEvalPython" in line]
+    assert sum("run(" in line for line in evaluated) == 1 and len(evaluated) <= 2  # the mark-up is taken out by another one
+
+
+@needs_data
+def test_latest_details_without_wide_sort_aggregate(spark):
+    plan = core.QUERIES["description_skills"](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "WindowGroupLimit" in plan
+
+
+@needs_data
+def test_limits_are_cut_before_the_shuffle(spark):
+    from termloom.operators import listing
+    from termloom.sources.tables import table
+
+    for source in ("html", "api", "auto"):
+        plan = listing.limit_per_query(table(spark, SMALL, "listings"), 2000, source)._jdf.queryExecution().executedPlan().toString()
+        assert "WindowGroupLimit" in plan
+
+
 def test_help_runs():
     out = subprocess.run([sys.executable, "-m", "termloom.plans.cli", "help"], cwd=ROOT, capture_output=True, text=True, timeout=120)
     assert out.returncode == 0 and "--source" in out.stdout

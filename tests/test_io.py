@@ -154,11 +154,53 @@ def test_state_counts_once(spark, tmp_path):
 def test_interrupted_batch_is_replayed(spark, tmp_path):
     state = progress.State(spark, str(tmp_path / "s"))
     rows = spark.createDataFrame([("1", 0, 0, ["a"])], ROWS)
-    rows.select("id").write.parquet(str(tmp_path / "s" / "ids" / "0"))  # left by a run that died before its mark
+    rows.select("id").write.parquet(str(tmp_path / "s" / "ids" / "0-0"))  # left by a run that died before its mark
     assert state.processed().count() == 0 and state.add(rows, 0)
     assert [(r.skill, r["count"]) for r in state.counts().collect()] == [("a", 1)]
 
 
+def test_many_batches_stay_few_segments(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(progress, "MERGED", 2)
+    state = progress.State(spark, str(tmp_path / "s"))
+    for k in range(5):
+        assert state.add(spark.createDataFrame([(str(k), 0, k, ["a", f"b{k}"]), ("0", 0, 9, ["z"])], ROWS), k)
+    assert state._done() == [(0, 3), (4, 4)] and state.next_batch() == 5 and not state.add(spark.createDataFrame([("9", 0, 0, ["a"])], ROWS), 2)
+    counts = {r.skill: (r["count"], r.first_seen.batch) for r in state.counts().collect()}
+    assert counts == {"a": (5, 0), **{f"b{k}": (1, k) for k in range(5)}} and state.processed().count() == 5
+    (tmp_path / "s" / "done" / "1-1").touch()  # a mark that an interrupted merge left behind
+    assert state._done() == [(0, 3), (4, 4)]
+
+
+def test_scratch_is_deleted_and_needs_a_shared_folder(spark, monkeypatch):
+    from termloom import session
+
+    with session.scratch(spark, "x") as path:
+        spark.range(3).write.parquet(path)
+    assert not os.path.exists(path)
+
+    class Cluster:
+        class sparkContext:
+            master = "spark://host:7077"
+
+            @staticmethod
+            def getConf():
+                return {}
+
+        class conf:
+            @staticmethod
+            def get(name, default):
+                return default
+
+    with pytest.raises(RuntimeError):
+        session.shared_folder(Cluster)
+
+
+def test_results_of_many_runs(spark, tmp_path):
+    rows = spark.createDataFrame([(1, 0, 5, "a"), (1, 1, 6, "a"), (2, 0, 7, " a "), (2, 1, 8, "b")], "run_id long, line_no int, count long, skill string")
+    sinks.write_runs(rows, str(tmp_path / "r"))
+    assert {(r.run_id, r.skill, r["count"]) for r in files.load_result(spark, str(tmp_path / "r"), by="run_id").collect()} == {("1", "a", 6), ("2", "a", 7), ("2", "b", 8)}
+
+
 def test_stream_equals_batch_and_restarts(spark, tmp_path):
     src, state = tmp_path / "in", progress.State(spark, str(tmp_path / "s"))
     put = lambda k, ids: spark.createDataFrame([(i, 0, int(i), [f"s{int(i) % 3}"]) for i in ids], ROWS).coalesce(1).write.parquet(str(src / f"f{k}"))
