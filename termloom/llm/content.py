@@ -1,12 +1,15 @@
 """Abusive, hateful or sexual content: a counterfactual-regularised classifier of sentences (problem 8).
 
-The model is a logistic regression over the words, word pairs and lexicon marks of a sentence, trained here on labelled
-texts.  Three things shape it:
-
-* prior: weights of lexicon marks are drawn to a positive value, all others to zero, the more so the more common
-  their word is in the whole corpus (what every tenth record says can't be what marks a rare kind of record);
-* counterfactuals: in sentences that name a group of people the name is swapped for others, and a change of the score
-  is penalised, so that naming a group neutrally costs nothing;
+The model is a logistic regression over the words, word pairs, letter n-grams and lexicon marks of a sentence, trained here on
+labelled texts.  Four things shape it:
+
+* weak priors: weights of lexicon marks are drawn to small positive values, none of which reaches the bias, so that without
+  examples nothing is given out; all others are drawn to zero, the more so the more common their word is in the whole
+  corpus (what every tenth record says can't be what marks a rare kind of record);
+* counterfactuals that must change nothing: in sentences that name a group of people the name is swapped for others, and a
+  change of the score is penalised, so that naming a group neutrally costs nothing.  Names are those of a general list and
+  words of the examples that stand where those stand;
+* counterfactuals that must change the label: an insult is put into a frame that mentions it without using it;
 * a labelled text is a bag: only its worst sentence has to explain its label.
 
 Words are first brought to plain characters; words with hidden, replaced, spaced out or repeated letters, or one typing
@@ -18,6 +21,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -35,15 +39,17 @@ from .canonical import distance
 from .confusables import plain, script
 
 #: Labelled texts used at most, in the order of their ids.
-MAX_EXAMPLES = 50_000
+MAX_EXAMPLES = 20_000
 #: Words in a larger share of the records carry little weight of their own.
 COMMON_SHARE = 0.01
 #: A word in more records than this share is no misspelling of a lexicon word.
 NO_TYPO_SHARE = 0.0005
-#: From this score on a record is given out for review; clean sentences lie far below it, lexicon marks far above.
+#: From this score on a record is given out for review.
 THRESHOLD = 0.25
-#: The log-odds against a sentence of which nothing is known; the weight a lexicon mark is drawn to lies above it.
-BIAS = 4.0
+#: The log-odds against a sentence of which nothing is known; no mark is drawn to a weight that would outweigh it.
+BIAS = 5.0
+#: Lengths of letter n-grams, ends of the word included, and examples' sentences in which one must occur.
+GRAMS, MIN_GRAM = (4, 5), 3
 #: The names of mark-up elements, old ones too, and of attributes without a value.
 ELEMENTS = """
 a abbr acronym address applet area article aside audio b base basefont bdi bdo bgsound big blink blockquote body br button canvas caption center cite code col colgroup data datalist dd del
@@ -77,18 +83,38 @@ LONG_MASK = re.compile("([" + re.escape("*#_%&^~=?") + "])\\1{20,}")
 #: What stands for no letter and parts the words of a run; where there is none, signs that may be masks part them.
 PARTS = regex.compile(r"[^\p{L}\p{M}\p{N}" + re.escape("".join(lexicon.LEET) + lexicon.MASKS) + "]+")
 JOINT = re.compile("([" + re.escape("_.-·•~=&?!|+(*#%^") + "])\\1*")
-TAGS = ("insult", "beast", "intense", "person", "explicit", "suggestive", "scene")
-_LISTS = dict(zip(TAGS, (lexicon.INSULTS, lexicon.BEASTS, lexicon.INTENSIFIERS, lexicon.PERSONS, lexicon.EXPLICIT, lexicon.SUGGESTIVE, lexicon.SCENES)))
+TAGS = ("insult", "beast", "intense", "person", "explicit", "suggestive", "scene", "mention", "group")
+_LISTS = dict(zip(TAGS, (lexicon.INSULTS, lexicon.BEASTS, lexicon.INTENSIFIERS, lexicon.PERSONS, lexicon.EXPLICIT, lexicon.SUGGESTIVE, lexicon.SCENES, lexicon.MENTIONS, lexicon.GROUPS)))
 #: Lists whose words are looked for behind disguises.
 _DISGUISED = ("insult", "beast", "intense", "explicit", "suggestive")
-PRIOR = {"!insult": 6.0, "!beast+person": 1.0, "!beast+intense": 4.0, "!direct beast": 5.0, "!explicit": 6.0, "!suggestive+scene": 5.5, "!intense+person": 1.5, "!threat": 6.0, "!contempt": 6.0}
+_PATTERNS = (("!threat", lexicon.THREATS), ("!dismissal", lexicon.DISMISSALS), ("!contempt", lexicon.CONTEMPT), ("!advance", lexicon.ADVANCES))
+PRIOR = {
+    "!insult": 0.7, "!insult+person": 0.7, "!beast+person": 0.2, "!beast+intense": 0.7, "!direct beast": 1.0, "!explicit": 1.0, "!suggestive+scene": 1.0, "!intense+person": 0.4,
+    "!threat": 1.0, "!dismissal": 1.0, "!contempt": 1.0, "!advance": 1.0, "!attack": 0.5, "!mention": -0.7, "!insult+mention": -0.7,
+}
+#: Words between an insult and the word that points at the person.
+NEAR = 6
+
+
+class Place:
+    """One place of a pattern: the words that may stand there."""
+
+    def __init__(self, text: str):
+        parts = text.replace("ё", "е").split("/")
+        self.group = "<group>" in parts
+        self.exact = frozenset(x for x in parts if not x.endswith("*") and x != "<group>")
+        self.stems = tuple(x[:-1] for x in parts if x.endswith("*"))
+        self.weight = 0 if self.group else min(map(len, parts))
+
+    def held(self, have: set[str], group: bool) -> bool:
+        return not self.exact.isdisjoint(have) or self.group and group or bool(self.stems) and any(w.startswith(self.stems) for w in have)
 
 
 class Words:
     """Lexicon marks of words; what is once seen is remembered."""
 
-    def __init__(self, no_typos: frozenset[str] = frozenset()):
-        self.exact: dict[str, set[str]] = {}
+    def __init__(self, no_typos: frozenset[str] = frozenset(), groups: frozenset[str] = frozenset()):
+        self.exact: dict[str, set[str]] = {x: {"group"} for x in groups}
         self.stems: dict[str, set[str]] = {}
         for tag, entries in _LISTS.items():
             for e in entries:
@@ -101,13 +127,19 @@ class Words:
                 for x in _deletions(e):
                     self.near.setdefault(x, []).append((e, stem))
         self.no_typos = no_typos
-        self.phrases: dict[str, list[tuple[str, tuple[str, ...]]]] = {}
-        for mark, lines in (("!threat", lexicon.THREATS), ("!contempt", lexicon.CONTEMPT)):
-            for line in lines:
-                line = tuple(line.replace("ё", "е").split())
-                self.phrases.setdefault(max(line, key=len), []).append((mark, line))
-        self.phrase_stems = {k[:-1] for k in self.phrases if k.endswith("*")}
-        self.longest = max(map(len, (*self.stems, *self.phrase_stems)))
+        # a pattern is looked at where a word of its longest place occurs
+        self.exact_lines: dict[str, list[tuple[str, list[Place]]]] = {}
+        self.stem_lines: dict[str, list[tuple[str, list[Place]]]] = {}
+        for mark, lines in _PATTERNS:
+            for line in lines.strip().replace("\n", "|").split("|"):
+                if places := [Place(x) for x in line.split()]:
+                    key = max(places, key=lambda x: x.weight)
+                    rest = mark, [x for x in places if x is not key]
+                    for x in key.exact:
+                        self.exact_lines.setdefault(x, []).append(rest)
+                    for x in key.stems:
+                        self.stem_lines.setdefault(x, []).append(rest)
+        self.longest = max(map(len, (*self.stems, *self.stem_lines)))
         self.info: dict[str, tuple[frozenset[str], tuple]] = {}
         self.seen: dict[str, tuple[str, ...]] = {}
 
@@ -124,10 +156,9 @@ class Words:
         if got is None:
             if len(self.info) > 400_000:
                 self.info.clear()
-            lines = [*self.phrases.get(word, ())]
+            lines = [*self.exact_lines.get(word, ())]
             for n in range(3, min(len(word), self.longest) + 1):
-                if word[:n] in self.phrase_stems:
-                    lines += self.phrases[word[:n] + "*"]
+                lines += self.stem_lines.get(word[:n], ())
             got = self.info[word] = frozenset(self.tags(word)), tuple(lines)
         return got
 
@@ -206,7 +237,7 @@ class Words:
         return tuple(w for x in parts for w in self.of(x))
 
     def _word(self, w: str) -> str:
-        if self.tags(w) or w in self.no_typos:
+        if w in self.no_typos or self.tags(w) - {"mention", "group"}:
             return w
         if not w.isascii() and (e := self.unmask(w)) is not None:
             return e
@@ -217,9 +248,6 @@ def _deletions(word: str) -> set[str]:
     return {word, *(word[:i] + word[i + 1 :] for i in range(len(word)))}
 
 
-_GROUPS = frozenset(x.replace("ё", "е") for x in lexicon.GROUPS)
-
-
 def _trimmed(text: str) -> str:
     """The text without the signs at its ends, in one pass."""
     text = text[m.end() :] if (m := HEAD.match(text)) else text
@@ -254,24 +282,25 @@ def windows(text: str, words: Words) -> Iterator[list[str]]:
                 yield ws[at : at + WINDOW]
 
 
-def _has(have: set[str], ws: list[str], line: tuple[str, ...]) -> bool:
-    return all(any(w.startswith(x[:-1]) for w in ws) if x[-1] == "*" else x in have for x in line)
-
-
 def marks(ws: list[str], words: Words) -> list[str]:
     """The lexicon marks of a sentence."""
-    about = [words.about(w) for w in ws]
     out = []
     where: dict[str, list[int]] = {}
     lines = []
-    for i, (tags, own) in enumerate(about):
+    for i, w in enumerate(ws):
+        tags, own = words.about(w)
         for t in tags:
             where.setdefault(t, []).append(i)
         lines += own
-    if "insult" in where:
+    insults, persons = where.get("insult"), where.get("person", ())
+    if insults:
         out.append("!insult")
+        if len(ws) <= 2 or any(abs(a - b) <= NEAR for a in insults for b in persons):  # by itself, it is addressed to someone
+            out.append("!insult+person")
+        if "mention" in where:
+            out.append("!insult+mention")
     if "beast" in where:
-        if "person" in where:
+        if persons:
             out.append("!beast+person")
         if any(0 < b - a <= 2 for b in where["beast"] for a in where.get("intense", ())):
             out.append("!beast+intense")
@@ -279,13 +308,16 @@ def marks(ws: list[str], words: Words) -> list[str]:
             out.append("!direct beast")
     if "explicit" in where:
         out.append("!explicit")
-    if "suggestive" in where and "scene" in where:
+    if "suggestive" in where and any(a != b for a in where["suggestive"] for b in where.get("scene", ())):
         out.append("!suggestive+scene")
-    if "intense" in where and "person" in where:
+    if "intense" in where and persons:
         out.append("!intense+person")
+    if "mention" in where:
+        out.append("!mention")
     if lines:
-        have = set(ws)
-        out += {mark for mark, line in lines if _has(have, ws, line)}
+        have, group = set(ws), "group" in where
+        if found := {mark for mark, places in lines if all(x.held(have, group) for x in places)}:
+            out += [*sorted(found), "!attack"]  # what the kinds have in common is learned from all of them
     return out
 
 
@@ -297,13 +329,36 @@ def _direct(before: list[str]) -> bool:
     return bool(last) and last[0] in ("ты", "вы", "you", "тот", "этот", "полный", "полная", "отсюда", "одного", "lost") or before[-2:-1] == ["тот"]
 
 
+def grams(word: str) -> set[str]:
+    """The letter n-grams of a word, as features; what errors and disguises leave of a word is known by them."""
+    w = f"^{word[:60]}$"
+    return {"#" + w[i : i + n] for n in GRAMS for i in range(len(w) - n + 1)}
+
+
+class _Weights(dict):
+    """Weights of words with those of their n-grams; what is once added up is remembered."""
+
+    def __init__(self, weights: dict[str, float]):
+        super().__init__()
+        self.all = weights
+
+    def __missing__(self, word: str) -> float:
+        if len(self) > 400_000:
+            self.clear()
+        got = self.all.get(word, 0.0) + sum(map(self.all.get, self.all.keys() & grams(word)))
+        self[word] = got
+        return got
+
+
 @dataclass
 class Model:
-    """Weights by feature; ``no_typos`` are the common words that resemble lexicon words."""
+    """Weights by feature; ``no_typos`` are the common words that resemble lexicon words, ``groups`` the names of groups that
+    were learned."""
 
     weights: dict[str, float]
     bias: float
     no_typos: frozenset[str] = frozenset()
+    groups: frozenset[str] = frozenset()
     _ready: tuple | None = field(default=None, repr=False, compare=False)
 
     def __getstate__(self) -> dict:
@@ -316,16 +371,16 @@ class Model:
         if self._ready is None:
             after: dict[str, dict[str, float]] = {}
             for f, w in self.weights.items():
-                if " " in f and f[0] != "!":
+                if " " in f and f[0] not in "!#":
                     a, b = f.split(" ")
                     after.setdefault(a, {})[b] = w
-            self._ready = Words(self.no_typos), after
-        words, after = self._ready
-        weight, info, worst = self.weights.get, words.info.get, -math.inf
+            self._ready = Words(self.no_typos, self.groups), after, _Weights(self.weights)
+        words, after, weight = self._ready
+        info, worst = words.info.get, -math.inf
         for ws in windows(text, words):
             z, last, marked = self.bias, "<", False
             for w in ws:
-                z += weight(w, 0.0)
+                z += weight[w]
                 if (own := after.get(last)) is not None:
                     z += own.get(w, 0.0)
                 about = info(w) or words.about(w)
@@ -333,15 +388,55 @@ class Model:
                     marked = True
                 last = w
             if marked:
-                z += sum(weight(x, 0.0) for x in marks(ws, words))
+                z += sum(self.weights.get(x, 0.0) for x in marks(ws, words))
             if z > worst:
                 worst = z
         return 0.0 if worst == -math.inf else 1 / (1 + math.exp(-max(-50.0, min(50.0, worst))))
 
 
 def features(ws: list[str], words: Words) -> Counter[str]:
-    """Words, word pairs and marks of a sentence, with their numbers."""
-    return Counter([*ws, *(a + " " + b for a, b in zip(["<", *ws], ws)), *marks(ws, words)])
+    """Words, word pairs, letter n-grams and marks of a sentence, with their numbers."""
+    return Counter([*ws, *(a + " " + b for a, b in zip(["<", *ws], ws)), *(g for w in ws for g in grams(w)), *marks(ws, words)])
+
+
+class _Sparse:
+    """Feature counts of sentences, in three arrays; features without a number are left out."""
+
+    def __init__(self, index: dict[str, int]):
+        self.index, self.n = index, 0
+        self.rows, self.cols, self.counts = array("i"), array("i"), array("f")
+
+    def add(self, feats: Counter[str]) -> None:
+        for f, k in feats.items():
+            if (i := self.index.get(f)) is not None:
+                self.rows.append(self.n)
+                self.cols.append(i)
+                self.counts.append(k)
+        self.n += 1
+
+    def ready(self) -> _Sparse:
+        self.r, self.c, self.v = (np.asarray(x) for x in (self.rows, self.cols, self.counts))
+        return self
+
+    def dot(self, w: np.ndarray) -> np.ndarray:
+        return np.bincount(self.r, self.v * w[self.c], self.n) if self.n else np.zeros(0)
+
+    def back(self, y: np.ndarray) -> np.ndarray:
+        return np.bincount(self.c, self.v * y[self.r], len(self.index)) if self.n else np.zeros(len(self.index))
+
+
+def learned_groups(rows: list[list[str]], offends: list[bool], words: Words) -> frozenset[str]:
+    """Words of offending texts that stand between the same two words as names of groups do, in two such places at least."""
+    about = lambda w: words.about(w)[0]
+    places: dict[str, set[tuple[str, str]]] = {}
+    known = set()
+    for ws, bad in zip(rows, offends):
+        if bad:
+            for a, w, b in zip(["<", *ws], ws, [*ws[1:], ">"]):
+                places.setdefault(w, set()).add((a, b))
+                if "group" in about(w):
+                    known.add((a, b))
+    return frozenset(w for w, own in places.items() if len(own & known) >= 2 and not about(w) and len(w) > 3)
 
 
 def fit(texts: list[tuple[str, bool]], common: frozenset[str] = frozenset(), no_typos: frozenset[str] = frozenset(), swaps: int = 4, balance: float = 2.0, rounds: int = 4) -> Model:
@@ -355,58 +450,63 @@ def fit(texts: list[tuple[str, bool]], common: frozenset[str] = frozenset(), no_
             rows.append(ws)
             bag.append(t)
     if not rows:
-        return Model({f: v for f, v in PRIOR.items()}, -BIAS, no_typos)
-    feats = [features(ws, words) for ws in rows]
-    seen = Counter(f for x in feats for f in x)
-    names = sorted({f for f, n in seen.items() if n >= 2} | {*PRIOR})
+        return Model(dict(PRIOR), -BIAS, no_typos)
+    groups = learned_groups(rows, [texts[t][1] for t in bag], words)
+    words = Words(no_typos, groups)
+    insults = sorted({w for ws, t in zip(rows, bag) if texts[t][1] for w in ws if "insult" in words.about(w)[0]})
+    framed = [list(windows(f.format(w), words)) for f in lexicon.FRAMES for w in insults if w.isascii() == f.isascii()]
+    rows += [ws for found in framed for ws in found]
+
+    seen: Counter[str] = Counter()
+    for ws in rows:
+        seen.update(features(ws, words).keys())
+    names = sorted({f for f, n in seen.items() if n >= (MIN_GRAM if f[0] == "#" else 2)} | {*PRIOR})
     index = {f: i for i, f in enumerate(names)}
-
-    def matrix(sets: list[Counter[str]]) -> np.ndarray:
-        x = np.zeros((len(sets), len(names)))
-        for i, fs in enumerate(sets):
-            for f, n in fs.items():
-                if f in index:
-                    x[i, index[f]] = n
-        return x
-
-    x = matrix(feats)
+    x, twins, twin_of = _Sparse(index), _Sparse(index), []
     rng = np.random.default_rng(5)
-    groups = {ascii_: [g for g in sorted(_GROUPS) if g.isascii() == ascii_] for ascii_ in (True, False)}
-    twins: list[tuple[int, Counter[str]]] = []
+    pools = {own: sorted(g for g, tags in words.exact.items() if "group" in tags and g.isascii() == own) for own in (True, False)}
     for i, ws in enumerate(rows):
-        if here := [k for k, w in enumerate(ws) if w in _GROUPS]:
+        x.add(features(ws, words))
+        if here := [k for k, w in enumerate(ws) if "group" in words.about(w)[0]]:
             for _ in range(swaps):
                 other = list(ws)
                 for k in here:
-                    pool = groups[ws[k].isascii()]
+                    pool = pools[ws[k].isascii()]
                     other[k] = pool[rng.integers(len(pool))]
-                twins.append((i, features(other, words)))
-    d = x[[i for i, _ in twins]] - matrix([fs for _, fs in twins]) if twins else np.zeros((1, len(names)))
+                twins.add(features(other, words))
+                twin_of.append(i)
+    x.ready(), twins.ready()
 
     prior = np.array([PRIOR.get(f, 0.0) for f in names])
     # a common word moves little; a pair is as common as its rarer word at most
     rare = np.array([not all(w in common or w == "<" for w in f.split(" ")) for f in names])
-    strength = np.where([f in PRIOR for f in names], 0.3, np.where(rare, 0.05, 0.6))
+    strength = np.where([f in PRIOR for f in names], 0.02, np.where([f[0] == "#" for f in names], 1.0, np.where(rare, 0.25, 1.0)))
     bags, label = np.array(bag), np.array([y for _, y in texts], bool)
+    order = np.argsort(bags, kind="stable")
+    edges = np.searchsorted(bags[order], np.arange(len(texts) + 1))
     w, b = prior.copy(), -BIAS
     for _ in range(rounds):
-        z = x @ w + b
+        z = x.dot(w) + b
         y = np.zeros(len(rows))
         for t in np.flatnonzero(label):
-            own = np.flatnonzero(bags == t)
+            own = order[edges[t] : edges[t + 1]]
             if len(own):
                 y[own[np.argmax(z[own])]] = 1
-        w, b = _descend(x, y, d, prior, strength, balance, w, b)
-    return Model({f: float(v) for f, v in zip(names, w) if abs(v) > 1e-4}, float(b), no_typos)
+        w, b = _descend(x, y, twins, np.array(twin_of, int), prior, strength, balance, w, b)
+    return Model({f: float(v) for f, v in zip(names, w) if abs(v) > 1e-4}, float(b), no_typos, groups)
 
 
-def _descend(x, y, d, prior, strength, balance, w, b, steps: int = 500, rate: float = 0.05):  # noqa: ANN001, ANN202
+def _descend(x: _Sparse, y: np.ndarray, twins: _Sparse, twin_of: np.ndarray, prior, strength, balance: float, w, b, steps: int = 150, rate: float = 0.08):  # noqa: ANN001, ANN202
     """Adam on the sum of log losses + strength * (w - prior)^2 / 2 + the squared change of scores under swaps."""
     n = len(y)
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for t in range(1, steps + 1):
-        p = 1 / (1 + np.exp(-np.clip(x @ w + b, -50, 50)))
-        g = np.append(x.T @ (p - y) + strength * (w - prior) + balance * (d.T @ (d @ w)), (p - y).sum() + 0.3 * (b + BIAS)) / n
+        z = x.dot(w)
+        p = 1 / (1 + np.exp(-np.clip(z + b, -50, 50)))
+        change = z[twin_of] - twins.dot(w)
+        pull = np.bincount(twin_of, change, n) if len(twin_of) else 0.0
+        slope = x.back(p - y + balance * pull) - balance * twins.back(change)
+        g = np.append(slope + strength * (w - prior), (p - y).sum() + 0.3 * (b + BIAS)) / n
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         step = rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-9)
         w, b = w - step[:-1], b - step[-1]
@@ -429,7 +529,7 @@ def corpus_words(df: DataFrame, text_col: str = "text") -> tuple[frozenset[str],
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for b in batches:
-            like = [words.typo_of(x) is not None and not words.tags(x) for x in b.column(0).to_pylist()]
+            like = [words.typo_of(x) is not None and not words.tags(x) - {"mention", "group"} for x in b.column(0).to_pylist()]
             often = [x > n * COMMON_SHARE for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(often, pa.bool_()), pa.array(like, pa.bool_())], names=["word", "often", "alike"]).filter(pa.array([x or y for x, y in zip(often, like)], pa.bool_()))
 

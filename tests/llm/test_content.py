@@ -1,5 +1,7 @@
+import math
 import os
 import random
+import re
 import time
 
 import pytest
@@ -15,11 +17,14 @@ def labelled():
     return [(r["text"], r["label"] != "none") for r in pq.read_table(DATA).to_pylist()]
 
 
+needs_data = pytest.mark.skipif(not os.path.exists(DATA), reason="no labelled texts here")
+
+
 @pytest.fixture(scope="module")
 def model():
-    good = ["We hire clerks for the archive.", "The team is fine.", "Women and migrants are welcome to apply.", "Работа в архиве, хороший коллектив.", "Приезжие и местные трудятся вместе."]
-    bad = ["You are an idiot and everyone knows it.", "Migrants are vermin and should go.", "Закрой рот, тупой баран.", "Send me nude pictures.", "Приезжие это паразиты, гнать их."]
-    return content.fit([(x, False) for x in good for _ in "12"] + [(x, True) for x in bad for _ in "12"])
+    if not os.path.exists(DATA):
+        pytest.skip("no labelled texts here")
+    return content.fit(labelled())
 
 
 @pytest.mark.parametrize("text", ["Get lost, you m0r0n!", "what an i-d-i-o-t you are", "you are a s c u m b a g", "ты му*ак", "Ты к0зёл", "you iiidioooot", "you are an idi​ot", "Fine text. Hello.\nYou absolute scumbag"])
@@ -80,7 +85,7 @@ def test_group_names_do_not_move_the_score(model):
     assert max(scores) - min(scores) < 0.05
 
 
-@pytest.mark.skipif(not os.path.exists(DATA), reason="no labelled texts here")
+@needs_data
 def test_held_out_accuracy():
     rows = labelled()
     random.Random(1).shuffle(rows)
@@ -91,8 +96,77 @@ def test_held_out_accuracy():
     assert wrong <= 0.03 * len(rows)
 
 
+def templates(model, rows):
+    """The offending texts by the form of their worst sentence: those whose words are alike by two fifths."""
+    found = []
+    for t, y in rows:
+        if y:
+            worst = max((model.score(s), s) for s in content.sentences(t))[1]
+            words = {*re.findall(r"\w+", worst.lower())}
+            for own in found:
+                if any(len(words & x) >= 0.4 * len(words | x) for _, x in own):
+                    own.append((t, words))
+                    break
+            else:
+                found.append([(t, words)])
+    return found
+
+
+@needs_data
+def test_forms_that_were_held_out_are_found(model):
+    rows = labelled()
+    forms, clean = templates(model, rows), [t for t, y in rows if not y]
+    random.Random(3).shuffle(forms)
+    random.Random(4).shuffle(clean)
+    found = total = false = 0
+    for k in range(6):
+        held, others = {t for own in forms[k::6] for t, _ in own}, {*clean[k::6]}
+        m = content.fit([(t, y) for t, y in rows if t not in held | others])
+        found += sum(m.score(t) >= content.THRESHOLD for t in held)
+        total += len(held)
+        false += sum(m.score(t) >= content.THRESHOLD for t in others)
+    assert len(forms) > 25 and found >= 0.8 * total and false <= 0.02 * len(clean)
+
+
+@needs_data
+def test_the_weights_are_learned(model):
+    texts = [t for t, y in labelled() if y]
+    prior = content.Model(dict(content.PRIOR), -content.BIAS)
+    assert sum(prior.score(t) >= content.THRESHOLD for t in texts) == 0 and max(content.PRIOR.values()) < content.BIAS
+    assert sum(model.score(t) >= content.THRESHOLD for t in texts) == len(texts)
+
+
+FRESH = "I'll slit your throat|All immigrants should be shot|Ты жалкий червь, сдохни|Muslims are animals and must be deported|Убью тебя, тварь|Цыгане все воры, гнать их отсюда|Заткни пасть, дегенерат|Раздевайся, крошка, хочу тебя трахнуть"
+MENTIONED = "Our policy forbids calling anyone an idiot|A moron test from psychology history|Sex: female. Nude colours, king size bed range|The word bastard is marked as offensive in the dictionary|Правила запрещают называть коллегу идиотом|The scene should be shot at night|Dead workers are killed at month end"
+
+
+@pytest.mark.parametrize("text", FRESH.split("|"))
+def test_unseen_forms(model, text):
+    assert model.score(text) >= content.THRESHOLD
+
+
+@pytest.mark.parametrize("text", MENTIONED.split("|"))
+def test_mention_is_no_use(model, text):
+    assert model.score(text) < content.THRESHOLD
+
+
+@needs_data
+def test_the_penalty_evens_out_groups(model):
+    rows = labelled()
+    free = content.fit(rows, balance=0.0)
+    names = ["migrants", "women", "veldans", "torrishmen", "muslims", "southerners"]
+
+    def spread(m, text):
+        z = [math.log(p / (1 - p)) for p in (m.score(text.format(x)) for x in names)]
+        return max(z) - min(z)
+
+    for text in ("We welcome {} in our office.", "The {} next door sell bread."):
+        assert spread(model, text) < 0.7 * spread(free, text)
+    assert {"veldans", "вельданцы"} <= model.groups  # learned from where they stand
+
+
 def test_tables(spark):
-    ex = spark.createDataFrame([(1, "you idiot", "abusive"), (2, "hello there", "none"), (3, None, "none"), (4, "x", None)], "example_id int, text string, label string")
+    ex = spark.createDataFrame([(k, "you idiot", "abusive") for k in range(20)] + [(k, f"hello there {k}", "none") for k in range(20, 60)] + [(90, None, "none"), (91, "x", None)], "example_id int, text string, label string")
     docs = spark.createDataFrame([(1, "you idiot", "s", 1.0), (2, None, None, None), (3, "", "s", 2.0), (1, "hello " * 50_000, "s", 3.0), (4, "w" * 200_000, None, 4.0)], "doc_id long, text string, source string, score double")
     model = content.train(ex, docs)
     out = content.score_documents(docs, model)
@@ -101,4 +175,4 @@ def test_tables(spark):
     rates = {r.source: (r.n_docs, r.n_offending) for r in content.rates(out).collect()}
     assert rates == {"s": (3, 1), None: (2, 0)}
     assert content.score_documents(docs.limit(0), model).count() == 0
-    assert content.train(ex.limit(0), docs.limit(0)).score("you idiot") > content.THRESHOLD  # prior knowledge alone
+    assert content.train(ex.limit(0), docs.limit(0)).score("you idiot") < content.THRESHOLD  # nothing was learned
