@@ -83,14 +83,21 @@ LONG_MASK = re.compile("([" + re.escape("*#_%&^~=?") + "])\\1{20,}")
 #: What stands for no letter and parts the words of a run; where there is none, signs that may be masks part them.
 PARTS = regex.compile(r"[^\p{L}\p{M}\p{N}" + re.escape("".join(lexicon.LEET) + lexicon.MASKS) + "]+")
 JOINT = re.compile("([" + re.escape("_.-·•~=&?!|+(*#%^") + "])\\1*")
-TAGS = ("insult", "beast", "intense", "person", "explicit", "suggestive", "scene", "mention", "group")
-_LISTS = dict(zip(TAGS, (lexicon.INSULTS, lexicon.BEASTS, lexicon.INTENSIFIERS, lexicon.PERSONS, lexicon.EXPLICIT, lexicon.SUGGESTIVE, lexicon.SCENES, lexicon.MENTIONS, lexicon.GROUPS)))
+TAGS = ("insult", "beast", "intense", "person", "explicit", "suggestive", "scene", "mention", "term", "group")
+_LISTS = dict(zip(TAGS, (lexicon.INSULTS, lexicon.BEASTS, lexicon.INTENSIFIERS, lexicon.PERSONS, lexicon.EXPLICIT, lexicon.SUGGESTIVE, lexicon.SCENES, lexicon.MENTIONS, lexicon.TERMS, lexicon.GROUPS)))
+#: Lists whose words may be other words misspelt.
+UNMARKED = {"mention", "term", "group"}
 #: Lists whose words are looked for behind disguises.
 _DISGUISED = ("insult", "beast", "intense", "explicit", "suggestive")
 _PATTERNS = (("!threat", lexicon.THREATS), ("!dismissal", lexicon.DISMISSALS), ("!contempt", lexicon.CONTEMPT), ("!advance", lexicon.ADVANCES))
 PRIOR = {
     "!insult": 0.7, "!insult+person": 0.7, "!beast+person": 0.2, "!beast+intense": 0.7, "!direct beast": 1.0, "!explicit": 1.0, "!suggestive+scene": 1.0, "!intense+person": 0.4,
-    "!threat": 1.0, "!dismissal": 1.0, "!contempt": 1.0, "!advance": 1.0, "!attack": 0.5, "!mention": -0.7, "!insult+mention": -0.7,
+    "!threat": 1.0, "!dismissal": 1.0, "!contempt": 1.0, "!advance": 1.0, "!attack": 0.3, "!aimed": 0.3, "!sexual": 0.3, "!mention": -0.7, "!insult+mention": -0.7,
+}
+PARENTS = {
+    "!attack": {"!threat", "!dismissal", "!contempt", "!advance"},
+    "!aimed": {"!insult+person", "!beast+intense", "!direct beast"},
+    "!sexual": {"!explicit", "!suggestive+scene", "!advance"},
 }
 #: Words between an insult and the word that points at the person.
 NEAR = 6
@@ -237,7 +244,7 @@ class Words:
         return tuple(w for x in parts for w in self.of(x))
 
     def _word(self, w: str) -> str:
-        if w in self.no_typos or self.tags(w) - {"mention", "group"}:
+        if w in self.no_typos or self.tags(w) - UNMARKED:
             return w
         if not w.isascii() and (e := self.unmask(w)) is not None:
             return e
@@ -295,9 +302,11 @@ def marks(ws: list[str], words: Words) -> list[str]:
     insults, persons = where.get("insult"), where.get("person", ())
     if insults:
         out.append("!insult")
-        if len(ws) <= 2 or any(abs(a - b) <= NEAR for a in insults for b in persons):  # by itself, it is addressed to someone
+        # by itself, strengthened, or as what someone completely is, it is addressed to someone
+        strong = any(0 < b - a <= 2 for b in insults for a in where.get("intense", ())) or any(_direct(ws[max(0, a - 3) : a]) for a in insults)
+        if strong or len(ws) <= 2 or any(abs(a - b) <= NEAR for a in insults for b in persons):
             out.append("!insult+person")
-        if "mention" in where:
+        if "mention" in where or "term" in where:
             out.append("!insult+mention")
     if "beast" in where:
         if persons:
@@ -316,9 +325,9 @@ def marks(ws: list[str], words: Words) -> list[str]:
         out.append("!mention")
     if lines:
         have, group = set(ws), "group" in where
-        if found := {mark for mark, places in lines if all(x.held(have, group) for x in places)}:
-            out += [*sorted(found), "!attack"]  # what the kinds have in common is learned from all of them
-    return out
+        out += sorted({mark for mark, places in lines if all(x.held(have, group) for x in places)})
+    # what kinds of marks have in common is learned from all of them
+    return out + [parent for parent, kinds in PARENTS.items() if not kinds.isdisjoint(out)]
 
 
 def _direct(before: list[str]) -> bool:
@@ -529,7 +538,7 @@ def corpus_words(df: DataFrame, text_col: str = "text") -> tuple[frozenset[str],
     def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words()
         for b in batches:
-            like = [words.typo_of(x) is not None and not words.tags(x) - {"mention", "group"} for x in b.column(0).to_pylist()]
+            like = [words.typo_of(x) is not None and not words.tags(x) - UNMARKED for x in b.column(0).to_pylist()]
             often = [x > n * COMMON_SHARE for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(often, pa.bool_()), pa.array(like, pa.bool_())], names=["word", "often", "alike"]).filter(pa.array([x or y for x, y in zip(often, like)], pa.bool_()))
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 #: Words that insult a person.
 INSULTS = """
 idiot* moron* imbecile* cretin* scumbag* bastard* asshole* arsehole* dumbass* shithead* dickhead* halfwit* dimwit* nitwit* dunce dunces simpleton* weasel* creep creeps lowlife* degenerate* wretch* swine* sleazebag* dirtbag* scoundrel*
-bitch* whore* slut* motherfuck* wanker* tosser* twat cunt* douchebag* dipshit* fuckwit* fucktard* retard* dumbfuck* jackass* shitbag* pussy prick pricks bellend bellends knobhead* numbskull* blockhead* bonehead* cocksucker*
+bitch* whore* slut* motherfuck* wanker* tosser* twat cunt* douchebag* dipshit* fuckwit* fucktard* retard* dumbfuck* jackass* shitbag* pussy prick pricks knobhead* numbskull* blockhead* bonehead* cocksucker*
 идиот* дебил* кретин* мудак* мудил* придур* урод урода уроды уродов уроду уродина уродин* недоум* говнюк* подон* гад гада гады гадина мраз* твар* сволоч* имбецил* олигофрен* дегенерат* гнид* паскуд* стерв* шлюх* проститутк* потаскух*
 сука суки сукин* суку ублюд* ничтожеств* дурак* дура дуры дурень тупиц* тупоголов* скотин* чмо падл* выродок* выродк* отморозок* мерзав* негодяй* долбоёб* долбоеб* пидор* пидар* гандон* засран* мерзост* быдло ушлёпок* ушлепок* козлин* дерьмо
 """.split()
@@ -83,9 +83,11 @@ talks/talking about nothing/only but/sex/tits/handjobs|wet and/for hard/you/me|s
 """
 #: Words of rules against such talk and of talk about words: neutral mention.
 MENTIONS = """
-policy policies rule rules forbid* prohibit* banned tolerat* harass* moderat* racis* discriminat* offensive slur slurs insults insulting word words term terms calling called definition meaning dictionary history psychology lecture novel film test study studies report reported reports complaint* training education teacher* clinic health screening breast
-правил* запрещ* недопустим* терпим* терпит* оскорблен* травл* домогательств* модератор* слово слова слов слове словом термин* называть называют значен* словар* истори* психолог* лекци* роман фильм жалоб* кодекс* обучени* воспитани* преподавател* клиник* здоровь* скрининг
+policy policies rule rules forbid* prohibit* banned tolerat* harass* moderat* racis* discriminat* offensive slur slurs insults insulting calling called definition meaning dictionary history psychology lecture novel film complaint* education teacher* clinic health screening breast
+правил* запрещ* недопустим* терпим* терпит* оскорблен* травл* домогательств* модератор* называть называют значен* словар* истори* психолог* лекци* роман фильм жалоб* кодекс* обучени* воспитани* преподавател* клиник* здоровь* скрининг
 """.split()
+#: Words that announce a word: with an insult a mention, too.
+TERMS = "word words term terms слово слова слов слове словом термин*".split()
 #: Frames in which a word is mentioned, not used: made into examples without offence.
 FRAMES = """
 our policy forbids calling anyone a {}|the word {} is an insult and has no place in our reviews|never call a colleague {}|a study of the word {} in old novels|comments with words like {} are removed|the {} test from the history of psychology|the dictionary marks {} as offensive|{} was once a term of medicine

@@ -43,8 +43,8 @@ LONG = ("the", "shop", "opens", "at", "nine", "and", "sells", "bread", "and", "b
 @pytest.mark.parametrize("insult", ["1d10t", "idi*t", "idoit", "idiooot", "i-d-i-o-t", "i.d-i.o-t", "f**k", "a$$hole", "idi" + "*" * 150 + "t"])
 @pytest.mark.parametrize("joint", [",", "_", "...", "/", "-", "+"])
 def test_disguises_in_long_runs_are_seen(model, insult, joint):
-    assert model.score(joint.join([*LONG, insult, *LONG])) >= content.THRESHOLD
-    assert model.score(joint.join([*LONG, "clerk", *LONG])) < content.THRESHOLD
+    assert model.score(joint.join([*LONG, "you", insult, *LONG])) >= content.THRESHOLD  # said to someone, not only a word of a list
+    assert model.score(joint.join([*LONG, "you", "clerk", *LONG])) < content.THRESHOLD
 
 
 def test_long_runs_take_linear_time(model):
