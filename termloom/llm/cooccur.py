@@ -25,8 +25,8 @@ from termloom.session import checkpointed
 LONG_BASKET, ITEM_BLOCK = 64, 256
 #: Pair codes held at once before they are summed.
 CODES = 1 << 20
-#: An item dictionary of up to this many rows is broadcast (64 MB at most); a larger one is joined by shuffling.
-BROADCAST_ITEMS = 200_000
+#: An item dictionary of up to so many rows and bytes of text is broadcast; a larger one is joined by shuffling.
+BROADCAST_ITEMS, BROADCAST_BYTES = 200_000, 16 << 20
 
 
 def _add(total: dict, codes: np.ndarray) -> None:
@@ -96,11 +96,12 @@ def cooccurring_pairs(baskets: DataFrame, rec: str, item: str, min_count: int =
     n = long.select("rec").distinct().count()
     least = max(min_count, int(np.ceil(min_share * n - 1e-9)))
     counts = long.groupBy("item").agg(F.count("*").alias("n_item")).where(F.col("n_item") >= least)
-    known = counts.count()
+    known, octets = counts.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("item")), F.lit(0))).first()
+    small = known <= BROADCAST_ITEMS and octets <= BROADCAST_BYTES
     # numbered in the order of the code points, so that the order of two numbers is that of their items
-    items = counts.withColumn("num", (F.row_number().over(Window.orderBy("item")) - 1).cast("int")) if known <= BROADCAST_ITEMS else _numbered(counts)
-    small = F.broadcast(items) if known <= BROADCAST_ITEMS else items
-    numbers = long.join(small.select("item", "num"), "item").groupBy("rec").agg(F.sort_array(F.collect_list("num")).alias("items"))
+    items = counts.withColumn("num", (F.row_number().over(Window.orderBy("item")) - 1).cast("int")) if small else _numbered(counts)
+    looked_up = F.broadcast if small else lambda df: df.hint("merge")
+    numbers = long.join(looked_up(items.select("item", "num")), "item").groupBy("rec").agg(F.sort_array(F.collect_list("num")).alias("items"))
 
     def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = {"a": [], "n": [], "held": 0}
@@ -123,7 +124,7 @@ def cooccurring_pairs(baskets: DataFrame, rec: str, item: str, min_count: int =
 
     def named(side: str) -> DataFrame:
         own = items.select(F.col("num").alias(side), F.col("item").alias(f"item_{side}"), F.col("n_item").alias(f"n_{side}"))
-        return F.broadcast(own) if known <= BROADCAST_ITEMS else own
+        return looked_up(own)
 
     out = pairs.join(named("a"), "a").join(named("b"), "b").withColumn("n", F.lit(n).cast("bigint"))
     whole = float(min_lift).is_integer()

@@ -4,8 +4,9 @@ Last-seen counters: tokens are hash-partitioned by term and ordered by record in
 them, a counter needs the occurrences, the records and the last record identifier only: a record is new exactly where
 it differs from the one before.  No set of records is kept for any term.
 
-A term may hold a third of all tokens, so each term has ``SALTS`` counters, chosen by the hash of the record; a record
-meets one counter of a term only, so the counters add up exactly.  The counters are merged in a second, small step.
+A term may hold a third of all tokens, so each term has several counters, chosen by the hash of the record; a record
+meets one counter of a term only, so the counters add up exactly.  Their number follows that of the shuffle partitions,
+and so the data: the largest counter stays a fraction of a mean partition.  They are merged in a second, small step.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from pyspark.sql import functions as F
 
 from .terms import term
 
-SALTS = 32
+#: Counters of a term: at least so many, and so many for each shuffle partition.
+SALTS, SALTS_A_PARTITION = 32, 4
 RARE_BELOW = 3
 
 
@@ -26,7 +28,8 @@ def term_counts(values: DataFrame, common: dict[str, float], rare_below: int = R
     fields it does not name have no common terms.  Null and blank values are no terms; null records are left out;
     repeated rows count as occurrences, not as records; a term may be both rare and common where there are few records."""
     tokens = values.select("field_name", term(F.col("raw_value")).alias("term"), "rec_id").where(F.col("term").isNotNull() & F.col("rec_id").isNotNull())
-    tokens = tokens.withColumn("salt", F.pmod(F.xxhash64("rec_id"), F.lit(SALTS)).cast("int"))
+    salts = max(SALTS, SALTS_A_PARTITION * int(values.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    tokens = tokens.withColumn("salt", F.pmod(F.xxhash64("rec_id"), F.lit(salts)).cast("int"))
     seen = Window.partitionBy("field_name", "term", "salt").orderBy("rec_id")
     counters = (
         tokens.withColumn("new", (~F.lag("rec_id").over(seen).eqNullSafe(F.col("rec_id"))).cast("long"))
