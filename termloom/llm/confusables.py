@@ -19,6 +19,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from termloom.session import checkpointed, large, spread
+
 #: Letters of one script that look like letters of another (small letters also where their capitals do).
 LATIN_CYRILLIC = dict(zip("AaBbCcEeHhIiJjKkMmOoPpSsTtXxYyËëӘəÏï", "АаВвСсЕеНнІіЈјКкМмОоРрЅѕТтХхУуЁёӘәЇї"))
 CYRILLIC_LATIN = {c: x for x, c in LATIN_CYRILLIC.items()} | dict(zip("һԁԛԝҮүӀ", "hdqwYyI"))
@@ -106,13 +108,19 @@ def readings(run: str) -> list[str]:
     return found + [x.replace("ı", "i") for x in found if "ı" in x]
 
 
-def plain(text: str, choose: Callable[[list[str]], str] = lambda found: found[0]) -> str:
-    """The consistent form of a text; ``choose`` decides between the readings of a run whose scripts tie."""
+def _open(run: str, ask: bool) -> list[str]:
+    found = readings(run)
+    return list(dict.fromkeys([run, *found])) if ask else found
+
+
+def plain(text: str, choose: Callable[[list[str]], str] = lambda found: found[0], ask: bool = False) -> str:
+    """The consistent form of a text; ``choose`` decides between the readings of a run whose scripts tie.  With ``ask`` it
+    decides on every run of letters that would change, of which it is then given the run itself and the readings."""
     text = "".join(map(_form, text)) if not text.isascii() else text
     text = INVISIBLE.sub("", unicodedata.normalize("NFC", text))
     text = unicodedata.normalize("NFC", text)
     if not text.isascii():
-        text = LETTERS.sub(lambda m: x[0] if len(x := readings(m[0])) == 1 else choose(x), text)
+        text = LETTERS.sub(lambda m: x[0] if len(x := _open(m[0], ask)) == 1 else choose(x), text)
     return SPACES.sub(" ", text).strip(" ")
 
 
@@ -121,49 +129,61 @@ def squeezed(text: str) -> str:
     return PLAIN_SPACES.sub(" ", text).strip(" ")
 
 
-def _ties(text: str) -> list[list[str]]:
+def _ties(text: str, ask: bool) -> list[list[str]]:
     found: list[list[str]] = []
-    plain(text, lambda x: found.append(x) or x[0])
+    plain(text, lambda x: found.append(x) or x[0], ask)
     return found
 
 
-def clean_values(values: DataFrame) -> DataFrame:
+VOCABULARY = ("ties", "always")
+
+
+def clean_values(values: DataFrame, vocabulary: str = "ties") -> DataFrame:
     """(field_name, rec_id, raw_value, clean_value) of the ``values`` (the same without the last) whose characters must
     change; distinct rows.
 
+    ``vocabulary``: what the words of the corpus decide.  With ``ties`` a run of mixed letters takes its dominant script and
+    they decide where none dominates; with ``always`` look-alikes are replaced only where the result occurs as a word of
+    the corpus, and the run stays as it is elsewhere.
+
     Null values and records are no case, nor are empty and blank ones, nor surplus plain white space alone.  A value
-    of nothing but invisible characters comes out as an empty string.  Each distinct value is repaired once; only values
-    with unusual or mixed characters leave the JVM."""
+    of nothing but invisible characters comes out as an empty string.  Only values with unusual or mixed characters leave
+    the JVM, once."""
+    if vocabulary not in VOCABULARY:
+        raise ValueError(f"unknown use of the vocabulary: {vocabulary}")
+    ask = vocabulary == "always"
+    row = ["field_name", "rec_id", "raw_value"]
     values = values.where(F.col("rec_id").isNotNull() & F.col("raw_value").isNotNull())
-    odd = values.select("field_name", "rec_id", "raw_value").where(~F.col("raw_value").rlike(ORDINARY) | F.col("raw_value").rlike(MIXED)).distinct()
+    odd = values.select(*row).where(~F.col("raw_value").rlike(ORDINARY) | F.col("raw_value").rlike(MIXED)).distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(2).to_pylist()
             clean = [plain(t) for t in texts]
-            found = [_ties(t) for t in texts]
+            found = [_ties(t, ask) for t in texts]
             change = pa.array([bool(x) or c != squeezed(t) for c, t, x in zip(clean, texts, found)], pa.bool_())
             ties = pa.array(found, pa.list_(pa.list_(pa.string())))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(clean, pa.string()), ties], names=["field_name", "rec_id", "raw_value", "clean_value", "ties"]).filter(change)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(clean, pa.string()), ties], names=[*row, "clean_value", "ties"]).filter(change)
 
-    made = odd.mapInArrow(run, "field_name string, rec_id string, raw_value string, clean_value string, ties array<array<string>>")
+    # few bytes, much work: over many tasks; written down, as it is read twice
+    made = checkpointed(spread(odd).mapInArrow(run, "field_name string, rec_id string, raw_value string, clean_value string, ties array<array<string>>"))
     sure = made.where(F.size("ties") == 0).drop("ties")
     open_ = made.where(F.size("ties") > 0)
 
-    # the corpus vocabulary decides ties: all words of all values, counted once
+    # all words of all values, counted once; of a run that is to be confirmed the run itself counts for nothing
     words = values.select(F.explode(F.regexp_extract_all(F.lower("raw_value"), F.lit(r"(\p{L}+)"))).alias("word")).groupBy("word").agg(F.count("*").alias("uses"))
     tied = open_.select(F.explode("ties").alias("tie")).distinct()
     options = tied.select("tie", F.posexplode("tie").alias("pos", "reading")).withColumn("word", F.lower("reading"))
-    best = options.join(words, "word", "left").groupBy("tie").agg(F.max_by("reading", F.struct(F.coalesce("uses", F.lit(0)), -F.col("pos"))).alias("reading"))
-    row = ["field_name", "rec_id", "raw_value"]
+    uses = F.when(F.lit(ask) & (F.col("pos") == 0), 0).otherwise(F.coalesce("uses", F.lit(0)))
+    best = large(options).join(words, "word", "left").groupBy("tie").agg(F.max_by("reading", F.struct(uses, -F.col("pos"))).alias("reading"))
     chosen = (
-        open_.select(*row, F.explode("ties").alias("tie")).join(best, "tie").groupBy(*row).agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("\x00", "tie"), "reading"))).alias("chosen"))
+        large(open_.select(*row, F.explode("ties").alias("tie"))).join(best, "tie").groupBy(*row).agg(F.map_from_entries(F.collect_set(F.struct(F.concat_ws("\x00", "tie"), "reading"))).alias("chosen"))
     )  # the ties of one value: no more than it has words
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(2).to_pylist()
-            clean = [plain(t, lambda x, own=dict(m): own["\x00".join(x)]) for t, m in zip(texts, b.column(3).to_pylist())]
+            clean = [plain(t, lambda x, own=dict(m): own["\x00".join(x)], ask) for t, m in zip(texts, b.column(3).to_pylist())]
             change = pa.array([c != squeezed(t) for c, t in zip(clean, texts)], pa.bool_())
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(clean, pa.string())], names=[*row, "clean_value"]).filter(change)
 

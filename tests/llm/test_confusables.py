@@ -74,3 +74,13 @@ def test_empty_long_and_extra_columns(spark):
     assert len(cleaned(spark, [("f", "1", long)])["1", long]) == 100_000
     df = spark.createDataFrame([("f", "1", "a b", "x", 1)], SCHEMA + ", clean_value string, word int")
     assert [r.clean_value for r in confusables.clean_values(df).collect()] == ["a b"]
+
+
+def test_words_of_the_corpus_may_have_to_confirm(spark):
+    values = [("f", "1", "раsport"), ("f", "2", "паспорт"), ("f", "3", "пacпорт"), ("f", "4", "зaгрyз"), ("f", "5", "ｆｕｌｌ"), ("f", "6", "sport")]
+    df = spark.createDataFrame(values, "field_name string, rec_id string, raw_value string")
+    got = lambda how: {r.raw_value: r.clean_value for r in confusables.clean_values(df, how).collect()}
+    assert got("ties") == {"раsport": "pasport", "пacпорт": "паспорт", "зaгрyз": "загруз", "ｆｕｌｌ": "full"}
+    assert got("always") == {"пacпорт": "паспорт", "ｆｕｌｌ": "full"}  # no other result is a word of the corpus
+    with pytest.raises(ValueError):
+        confusables.clean_values(df, "never")
