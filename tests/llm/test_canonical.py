@@ -4,7 +4,7 @@ import random
 import pytest
 
 from termloom.llm import canonical
-from termloom.llm.set_join import similar_sets
+from termloom.llm.set_join import PrefixIndex, similar_sets
 
 REF = [("machine learning", "ml"), ("ml", "ml"), ("kubernetes", "kubernetes"), ("деловая переписка", "деловая переписка"), ("kotlin++", "kotlin++"), ("учёт накладных", "учёт накладных"), ("r2d", "r2d")]
 
@@ -24,6 +24,35 @@ def test_set_join_is_exact(spark, threshold):
     assert {(r.left_id, r.right_id) for r in similar_sets(df(left), df(right), threshold).collect()} == want
 
 
+@pytest.mark.parametrize("threshold", [0.4, 0.7, 1.0])
+def test_prefix_index_is_exact(threshold):
+    rng = random.Random(8)
+    make = lambda n: [(str(k), {f"t{rng.randrange(14) ** 2 % 23}" for _ in range(rng.randint(0, 8))}) for k in range(n)]
+    left, right = make(300), make(60)
+    uses = {f"t{k}": rng.randrange(50) for k in range(12)}  # any order finds all
+    index = PrefixIndex(right, uses, threshold)
+    for _, x in left:
+        x = {*x, "unknown"} if rng.random() < 0.2 else x
+        want = {(b, round(len(x & y) / len(x | y), 9)) for b, y in right if x and y and len(x & y) / len(x | y) >= threshold - 1e-9}
+        assert {(b, round(s, 9)) for b, s in index.like(x)} == want
+
+
+def test_a_reference_of_any_size_gives_the_same(spark):
+    ref = [*REF, ("abcdefgz", "one"), ("abcdefgd", "two"), ("administration", "administration")]
+    values = ["machin learning", "кубернетес", "лгиуктуеуы", "делов. переписка", "abcdefgh", "adm.", "machine juggling", "what", "kotlin++ 2.1", "ML ", "!!!", "🙂", "."]
+    v = spark.createDataFrame([("f", "1", x) for x in values], "field_name string, rec_id string, raw_value string")
+    r = spark.createDataFrame(ref, "alias string, canonical string")
+    made = canonical.map_values(v, r, in_memory=3)
+    assert {tuple(x) for x in made.collect()} == {tuple(x) for x in canonical.map_values(v, r).collect()}
+    assert "BroadcastHashJoin" not in made._jdf.queryExecution().toString()
+
+
+def test_long_values(spark):
+    words = "machine learning and data science for big data teams"
+    long = "- " * 300 + "kubernetes" + " (basic)" * 300
+    assert mapped(spark, [words.replace(" ", ""), long], [(words, "x"), ("kubernetes", "kubernetes")]) == {words.replace(" ", ""): "x", long: "kubernetes"}
+
+
 def test_ways_of_writing(spark):
     got = mapped(
         spark,
