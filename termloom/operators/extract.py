@@ -11,7 +11,7 @@ import re
 from collections.abc import Callable, Iterable
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,6 +61,10 @@ def skills_in_text(col: Column, dictionary: dict[str, str] | Iterable[str]) -> C
 
     It is declared non-deterministic, so that the optimiser doesn't copy it: a filter on the result, such as that which an
     explode implies, would run it a second time for each text."""
+    return _text_udf(dictionary)(col)
+
+
+def _text_udf(dictionary: dict[str, str] | Iterable[str]):  # noqa: ANN202
     matcher, made = Matcher.of(dictionary), []
 
     @F.pandas_udf(T.ArrayType(T.StringType()))
@@ -69,7 +73,12 @@ def skills_in_text(col: Column, dictionary: dict[str, str] | Iterable[str]) -> C
             made.append(compile_matcher(matcher))
         return texts.map(made[0], na_action=None)
 
-    return run.asNondeterministic()(col)
+    return run.asNondeterministic()
+
+
+def register(spark: SparkSession, dictionary: dict[str, str] | Iterable[str]) -> None:
+    """Makes the search of a dictionary known to SQL, as ``skills_in_text``."""
+    spark.udf.register("skills_in_text", _text_udf(dictionary))
 
 
 def skills_in_text_native(col: Column, dictionary: dict[str, str] | Iterable[str]) -> Column:

@@ -329,9 +329,9 @@ def _escaped(col: str) -> Column:
 
 @query(f"""SELECT query_ord, pos, id, {_STRIP('name')} AS name FROM (SELECT DISTINCT query_ord, pos, id, name FROM listings WHERE alternate_url IS NOT NULL AND name IS NOT NULL AND id IS NOT NULL)""")
 def html_search_results(spark: SparkSession, base: str) -> DataFrame:
-    rows = table(spark, base, "listings").where("alternate_url is not null and name is not null and id is not null").select("query_ord", "pos", "id", "name", "alternate_url").distinct()
+    rows = table(spark, base, "listings").select("query_ord", "pos", "id", "name", "alternate_url").distinct()
     link = F.concat(F.lit('<div><a data-qa="serp-item__title" href="'), "alternate_url", F.lit('"><span>'), _escaped("name"), F.lit("</span></a> <a href='/x'>more</a></div>"))
-    page = F.concat(F.lit("<html><body>"), link, link, F.lit("</body></html>"))  # the same hit twice: once in the result
+    page = F.concat(F.lit("<html><body>"), link, link, F.lit("</body></html>"))  # the same hit twice: once in the result; null where a part is
     return rows.select("query_ord", "pos", F.explode(pages.listing_rows(page)).alias("r")).select("query_ord", "pos", "r.id", "r.name")
 
 
@@ -347,11 +347,12 @@ def json_key_extract(spark: SparkSession, base: str) -> DataFrame:
     return rows.groupBy("id", "skill").agg(F.count("*").alias("n"))
 
 
-@query(f"""WITH {_LATEST} SELECT id, {_STRIP('name')} AS name, {_STRIP('description')} AS description FROM latest WHERE name IS NOT NULL AND description IS NOT NULL""")
+@query(f"""WITH {_LATEST} SELECT id, coalesce({_STRIP('name')}, '') AS name, coalesce({_STRIP('description')}, '') AS description FROM latest""")
 def html_detail_page(spark: SparkSession, base: str) -> DataFrame:
-    rows = _latest(spark, base, "name", "description").where("name is not null and description is not null")
-    page = F.concat(F.lit('<html><h1 data-qa="vacancy-title">'), _escaped("name"), F.lit('</h1><div data-qa="vacancy-description">'), "description", F.lit("</div></html>"))
-    return rows.select("id", pages.detail_of(page, F.col("name")).alias("d")).select("id", "d.name", text.strip(F.col("d.description")).alias("description"))
+    rows = _latest(spark, base, "name", "description")
+    part = lambda c: F.coalesce(c, F.lit(""))
+    page = F.concat(F.lit('<html><h1 data-qa="vacancy-title">'), part(_escaped("name")), F.lit('</h1><div data-qa="vacancy-description">'), part(F.col("description")), F.lit("</div></html>"))
+    return rows.select("id", pages.detail_of(page, F.col("name")).alias("d")).select("id", text.strip(F.col("d.name")).alias("name"), text.strip(F.col("d.description")).alias("description"))
 
 
 BLOCKED_FROM = 20  # the query at which the structured source is blocked in the stored pages

@@ -106,3 +106,8 @@ def test_effective_mode(spark):
     assert pick("key-skills", True) == ["description", "key-skills", "key-skills"]
     assert pick("key-skills", False) == ["key-skills"] * 3
     assert pick("both", True) == ["both"] * 3
+
+
+def test_the_search_is_known_to_sql(spark):
+    extract.register(spark, {"k8s": "kubernetes", "sql": "sql"})
+    assert spark.sql("select skills_in_text('K8s and SQL, null too') as s, skills_in_text(null) as n").first() == (["kubernetes", "sql"], [])
