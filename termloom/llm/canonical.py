@@ -33,6 +33,8 @@ SIMILARITY = 0.4
 SMALL_ENTRY, SMALL_VALUE = 28, 38
 #: Run together, two edits keep what has more than 12 letters alike.
 SMALL_JOINED = 12
+#: A word of few letter pairs that is longer repeats itself; such words are all compared with each other.
+LONG_WORD = 60
 #: A reference list of up to so many entries is sent to all tasks (an entry takes some tens of KB there, with its keys).
 IN_MEMORY = 3_000
 #: Letters by the sound they are transliterated with; one sign a sound, so that distances stay the same.
@@ -229,7 +231,10 @@ def keys(text: str, is_entry: bool) -> set[str]:
         for form in {folded, " ".join(WORDS.findall(text))}:
             ws = form.split()
             for w in {*ws} if is_entry else {max(ws, key=len)}:
-                out |= _without(w, 2 if len(w) >= (8 if is_entry else 6) else 1, f"{len(ws)} ")
+                if len(w) <= LONG_WORD:
+                    out |= _without(w, 2 if len(w) >= (8 if is_entry else 6) else 1, f"{len(ws)} ")
+                if len(w) > LONG_WORD - 3:  # within two letters of a longer one
+                    out.add(f"{len(ws)} long")
     joined = "".join(words)
     if len(joined) <= SMALL_JOINED + (0 if is_entry else 2):
         out |= _without(joined, 2, "1 ")

@@ -53,6 +53,14 @@ def test_long_values(spark):
     assert mapped(spark, [words.replace(" ", ""), long], [(words, "x"), ("kubernetes", "kubernetes")]) == {words.replace(" ", ""): "x", long: "kubernetes"}
 
 
+def test_long_words_of_few_letters_keep_their_keys():
+    for n in (56, 58, 60, 61, 62, 70):
+        word = "ab" * (n // 2) + "a" * (n % 2)
+        for other in (word[1:], word[2:], word + "c", "xy" + word, word[:9] + "z" + word[9:]):
+            assert canonical.difference(other, word) is not None and canonical.keys(other, False) & canonical.keys(word, True)
+    assert len(canonical.keys("z" * 100_000, False)) < 10 and len(canonical.keys("ab" * 50_000, True)) < 20
+
+
 def test_ways_of_writing(spark):
     got = mapped(
         spark,
