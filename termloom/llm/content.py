@@ -128,6 +128,9 @@ class Words:
                 e = e.replace("ё", "е")
                 (self.stems if e.endswith("*") else self.exact).setdefault(e.rstrip("*"), set()).add(tag)
         self.hidden = [(e, stem) for d, stem in ((self.exact, False), (self.stems, True)) for e, tags in d.items() if len(e) >= 3 and tags & {*_DISGUISED}]
+        self.by_first: dict[str, list[int]] = {}
+        for k, (e, _) in enumerate(self.hidden):
+            self.by_first.setdefault(e[0], []).append(k)
         self.near: dict[str, list[tuple[str, bool]]] = {}
         for e, stem in self.hidden:
             if len(e) >= 5:
@@ -147,7 +150,7 @@ class Words:
                     for x in key.stems:
                         self.stem_lines.setdefault(x, []).append(rest)
         self.longest = max(map(len, (*self.stems, *self.stem_lines)))
-        self.info: dict[str, tuple[frozenset[str], tuple]] = {}
+        self.info: dict[str, tuple[frozenset[str], tuple, bool]] = {}
         self.seen: dict[str, tuple[str, ...]] = {}
 
     def tags(self, word: str) -> set[str]:
@@ -157,8 +160,8 @@ class Words:
                 found |= x
         return found
 
-    def about(self, word: str) -> tuple[frozenset[str], tuple]:
-        """The lists a word is in, and the phrases of which it is the longest word."""
+    def about(self, word: str) -> tuple[frozenset[str], tuple, bool]:
+        """The lists a word is in, the patterns that are looked at where it occurs, and whether it may begin a mark at all."""
         got = self.info.get(word)
         if got is None:
             if len(self.info) > 400_000:
@@ -166,7 +169,8 @@ class Words:
             lines = [*self.exact_lines.get(word, ())]
             for n in range(3, min(len(word), self.longest) + 1):
                 lines += self.stem_lines.get(word[:n], ())
-            got = self.info[word] = frozenset(self.tags(word)), tuple(lines)
+            tags = frozenset(self.tags(word))
+            got = self.info[word] = tags, tuple(lines), bool(lines) or not tags.isdisjoint(_DISGUISED)
         return got
 
     def typo_of(self, word: str) -> str | None:
@@ -186,7 +190,7 @@ class Words:
         if chunk.isalpha() and (chunk.isascii() or len({*map(script, chunk)}) == 1):
             return None
         for form in {chunk: 0, MASK_RUN.sub(r"\1", chunk): 0}:
-            for e, stem in self.hidden:
+            for e, stem in self._may_hide(form):
                 n = len(e)
                 if n > len(form) or not stem and n != len(form):
                     continue
@@ -201,6 +205,19 @@ class Words:
                         return e + "".join(c for c in form[n:] if c.isalpha())
         return None
 
+    def _may_hide(self, form: str) -> list[tuple[str, bool]]:
+        """The lexicon words, in their order, whose first letter ``form`` can begin with and whose letters it has some of."""
+        scripts = {c.isascii() for c in form if c.isalpha()}
+        if not scripts:
+            return []
+        first = form[0]
+        if first in lexicon.MASKS:
+            found = range(len(self.hidden))
+        else:
+            starts = {first, *lexicon.LEET.get(first, "")}
+            found = sorted({k for y in starts for k in self.by_first.get(y, ())} | ({k for y, own in self.by_first.items() if y.isascii() != first.isascii() for k in own} if first.isalpha() and len(scripts) > 1 else set()))
+        return [self.hidden[k] for k in found if self.hidden[k][0].isascii() in scripts]
+
     def of(self, chunk: str) -> tuple[str, ...]:
         """The words of a chunk of non-space characters, lower-cased and undisguised."""
         got = self.seen.get(chunk)
@@ -290,12 +307,14 @@ def windows(text: str, words: Words) -> Iterator[list[str]]:
 
 
 def marks(ws: list[str], words: Words) -> list[str]:
-    """The lexicon marks of a sentence."""
+    """The lexicon marks of a sentence; none where no word may begin one, whatever else is mentioned."""
     out = []
     where: dict[str, list[int]] = {}
     lines = []
-    for i, w in enumerate(ws):
-        tags, own = words.about(w)
+    about = [words.about(w) for w in ws]
+    if not any(begins for _, _, begins in about):
+        return out
+    for i, (tags, own, _) in enumerate(about):
         for t in tags:
             where.setdefault(t, []).append(i)
         lines += own
@@ -392,8 +411,7 @@ class Model:
                 z += weight[w]
                 if (own := after.get(last)) is not None:
                     z += own.get(w, 0.0)
-                about = info(w) or words.about(w)
-                if about[0] or about[1]:
+                if not marked and (info(w) or words.about(w))[2]:
                     marked = True
                 last = w
             if marked:
