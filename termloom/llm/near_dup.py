@@ -203,14 +203,13 @@ def similar_classes(sets: DataFrame, threshold: float, recall: float = 0.999) ->
     for s in "ab":
         pairs = large(pairs).join(sketches.select(F.col("num").alias(f"num_{s}"), *[F.col(c).alias(f"{s}_{c}") for c in SKETCH]), f"num_{s}")
     likely = pairs.where(BITS - bits >= least).select("num_a", "num_b")
-    likely = likely.unionByName(_meet_hot(met.where("hot_band is not null").select("hot_band", "num_a"), sketches, threshold))
-
-    names = hashed.select("num", "class_id")
-    for s in "ab":
-        likely = large(likely).join(names.select(F.col("num").alias(f"num_{s}"), F.col("class_id").alias(f"name_{s}")), f"num_{s}")
-    likely = likely.select(F.least("name_a", "name_b").alias("class_a"), F.greatest("name_a", "name_b").alias("class_b")).distinct()
-    full = lambda s: sets.select(F.col("class_id").alias(f"class_{s}"), F.col("n").alias(f"size_{s}"), F.col("feats").alias(f"feats_{s}"))
-    both = large(large(likely).join(full("a"), "class_a")).join(full("b"), "class_b").withColumn("common", F.size(F.array_intersect("feats_a", "feats_b")))
+    hot = met.where("hot_band is not null").select("hot_band", "num_a")
+    if not hot.isEmpty():  # else its joins needn't be planned
+        likely = likely.unionByName(_meet_hot(hot, sketches, threshold)).distinct()
+    named = sets.withColumn("num", F.xxhash64("class_id"))
+    full = lambda s: named.select(F.col("num").alias(f"num_{s}"), F.col("class_id").alias(f"name_{s}"), F.col("n").alias(f"size_{s}"), F.col("feats").alias(f"feats_{s}"))
+    both = large(large(likely).join(full("a"), "num_a")).join(full("b"), "num_b").withColumn("common", F.size(F.array_intersect("feats_a", "feats_b")))
+    both = both.select("*", F.least("name_a", "name_b").alias("class_a"), F.greatest("name_a", "name_b").alias("class_b"))
     similarity = F.col("common") / (F.col("size_a") + F.col("size_b") - F.col("common"))
     return both.select("class_a", "class_b", similarity.alias("similarity")).where(F.col("similarity") >= threshold)
 
@@ -340,16 +339,21 @@ def near_duplicate_pairs(df: DataFrame, id_col: str, main: str, more: str | None
     ``min_words`` words, are in no pair; ``more`` may be null."""
     members, sets = classes(df, id_col, main, more, shingle, min_words)
     links = similar_classes(sets, threshold, recall).select("class_a", "class_b")
-    parts = members.groupBy("class_id").agg(F.count("*").alias("m")).select("class_id", "m", F.ceil(F.col("m") / MEMBERS).cast("int").alias("parts"))
-    members = large(members).join(parts, "class_id").select("id", "class_id", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"))
-    sides = links.select("class_a", "class_b", F.lit(True).alias("two")).unionByName(parts.where("m > 1").select(F.col("class_id").alias("class_a"), F.col("class_id").alias("class_b"), F.lit(False).alias("two")))
-    for s in "ab":
-        sides = large(sides).join(parts.select(F.col("class_id").alias(f"class_{s}"), F.col("parts").alias(f"parts_{s}")), f"class_{s}")
-    sides = sides.withColumn("part_a", F.explode(F.sequence(F.lit(0), F.col("parts_a") - 1))).withColumn("part_b", F.explode(F.sequence(F.lit(0), F.col("parts_b") - 1)))
-    sides = sides.where(F.col("two") | (F.col("part_a") <= F.col("part_b"))).select("class_a", "part_a", "class_b", "part_b")
+    sizes = members.groupBy("class_id").agg(F.count("*").alias("m")).where("m > 1")
+    sides = links.select("class_a", "class_b", F.lit(True).alias("two")).unionByName(sizes.select(F.col("class_id").alias("class_a"), F.col("class_id").alias("class_b"), F.lit(False).alias("two")))
+    key, in_parts = ["class_id"], sizes.where(F.col("m") > MEMBERS).select("class_id", F.ceil(F.col("m") / MEMBERS).cast("int").alias("parts"))
+    if not in_parts.isEmpty():
+        key = ["class_id", "part"]
+        of = lambda c: F.coalesce(F.col(c), F.lit(1))
+        members = large(members).join(in_parts, "class_id", "left").select("id", "class_id", F.pmod(F.xxhash64("id"), of("parts")).cast("int").alias("part"))
+        for s in "ab":
+            sides = large(sides).join(in_parts.select(F.col("class_id").alias(f"class_{s}"), F.col("parts").alias(f"parts_{s}")), f"class_{s}", "left")
+            sides = sides.withColumn(f"part_{s}", F.explode(F.sequence(F.lit(0), of(f"parts_{s}") - 1)))
+        sides = sides.where(F.col("two") | (F.col("part_a") <= F.col("part_b")))
+    column = {"class_id": "class", "part": "part"}
     for s in "ab":
-        own = members.select(F.col("class_id").alias(f"class_{s}"), F.col("part").alias(f"part_{s}"), F.col("id").alias(f"id_{s}"))
-        sides = large(sides).join(own, [f"class_{s}", f"part_{s}"])
+        own = members.select(*[F.col(k).alias(f"{column[k]}_{s}") for k in key], F.col("id").alias(f"id_{s}"))
+        sides = large(sides).join(own, [f"{column[k]}_{s}" for k in key])
     return sides.where(F.col("id_a") != F.col("id_b")).select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b")).distinct()
 
 
