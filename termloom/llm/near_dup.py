@@ -300,7 +300,7 @@ def _meet_hot(hot: DataFrame, sketches: DataFrame, threshold: float) -> DataFram
             for at in range(0, len(x), 64):
                 own, end = x[at : at + 64], np.searchsorted(x[:, 5], x[at : at + 64][-1, 5] / threshold + 1, "right")
                 other = x[at + 1 : end]
-                same = BITS - np.bitwise_count(own[:, None, 6:] ^ other[None, :, 6:]).sum(axis=2, dtype=np.int32)
+                same = BITS - np.bitwise_count((own[:, None, 6:] ^ other[None, :, 6:]).view(np.uint64)).sum(axis=2, dtype=np.int32)
                 fits = (same >= least) & (own[:, None, 5] >= threshold * other[None, :, 5]) & (np.arange(len(own))[:, None] <= np.arange(len(other))[None, :])
                 fits &= (own[:, None, 1] == own[:, None, 2]) | (own[:, None, 3] != other[None, :, 3])  # of unlike chunks, each with the other
                 i, j = np.nonzero(fits)

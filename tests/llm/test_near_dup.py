@@ -51,6 +51,12 @@ def test_hot_band_values_are_split(spark, monkeypatch):
     assert got == brute(rows, 0.8, 1, 1) and len(got) == 40 * 39 // 2
 
 
+def test_sketches_are_compared_by_all_bits(spark):
+    rows = spark.createDataFrame([(k, 10, *[-1 if (k + c) % 2 else 2**62 for c in range(near_dup.LONGS)]) for k in range(4)], f"num long, n int, {', '.join(f'{c} long' for c in near_dup.SKETCH)}")
+    hot = spark.createDataFrame([(7, k) for k in range(4)], "hot_band long, num_a long")
+    assert {tuple(r) for r in near_dup._meet_hot(hot, rows, 0.6).collect()} == {(0, 2), (1, 3)}
+
+
 def test_large_classes_are_split(spark, monkeypatch):
     monkeypatch.setattr(near_dup, "MEMBERS", 3)
     text = " ".join(f"w{k}" for k in range(30))
