@@ -322,10 +322,13 @@ def map_values(values: DataFrame, reference: DataFrame, alias: str = "alias", ca
     own = {t for e in entries for f in _forms(fold(e.entry)) for t in letter_pairs(f)}
     tokens = F.broadcast(values.sparkSession.createDataFrame([(t,) for t in sorted(own)], "token string"))  # the letter pairs of the entries
     uses = {r.token: r.n for r in read.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count("*").alias("n")).join(tokens, "token").collect()}
-    shared = values.sparkSession.sparkContext.broadcast(([(e.entry, e.canonical) for e in entries], uses))
+    shared = values.sparkSession.sparkContext.broadcast({"entries": [(e.entry, e.canonical) for e in entries], "uses": uses})
 
     def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(*shared.value, similarity)
+        own = shared.value  # a worker keeps it from task to task, and with it the index
+        if "matcher" not in own:
+            own["matcher"] = Matcher(own["entries"], own["uses"], similarity)
+        matcher = own["matcher"]
         for b in batches:
             found = [matcher.best(x) for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([c for c, _ in found], pa.string()), pa.array([d for _, d in found], pa.int32())], names=["raw_value", "canonical", "edits"])
