@@ -66,8 +66,8 @@ def load_result(spark: SparkSession, path: str, by: str | None = None) -> DataFr
     """(skill, count, line): a result file read again; of a repeated skill the last count, at its first place.
 
     ``by`` names the part of the folder's names (``run_id=...``) that tells results of several runs apart; it comes first.
-    Other columns, or counts that are no whole numbers, raise when the rows are read; blank skills are left out.
-    A file without rows raises ``ValueError``."""
+    Other columns, or counts that are no whole numbers, raise; blank skills are left out.  A file without rows raises
+    ``ValueError``.  The rows are written down at once, so the file may go afterwards."""
     lines = spark.read.csv(path, schema=RESULT, header=True, mode="FAILFAST", enforceSchema=False, quote='"', escape='"', multiLine=True)
     run = [F.regexp_extract(F.col("_metadata.file_path"), f"/{by}=([^/]*)/", 1).alias(by)] if by else []
     lines = lines.select(*run, "Count", strip(F.col("Skill"), PYTHON_SPACE).alias("skill"), F.struct(F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("row")).alias("line")).where("skill is not null and skill <> ''")
