@@ -5,10 +5,14 @@
    meet each other nowhere.
 3. A class has b * r MinHash values; each r of them are hashed into a band.  ``plan_bands`` takes the largest r for
    which b bands still find a pair at the threshold with the wanted recall: large r keep unlike texts apart.
-4. Band values are shuffled once and read in order: classes with one in common are candidates if their sizes allow the
-   threshold.  A band value with many classes is split into chunks, and each two chunks meet in a task of their own.
-5. Candidates are first compared by a sketch of 512 bits with a margin of five standard deviations, then, the few that
-   are left, on their full sets: the result has no false pair.
+4. Each band value is shuffled once, with the sketch of its class, and read in order: classes with one in common are
+   candidates if their sizes allow the threshold.  They are compared right there by sketches of 512 bits with a margin of
+   five standard deviations, so that candidates, whose number grows faster than the data, are written nowhere.  A band
+   value with many classes is split into chunks, and each two chunks meet in a task of their own.
+5. The few that are left are compared on their full sets: the result has no false pair.
+
+The bands are worked through in passes, each of which shuffles about as many bytes as the sets have; the files of a pass
+are deleted after it, so that the disk holds the sets and a pass or two, however many bands there are.
 
 No side of a join is broadcast: all grow with the data, and an array counts as one element where its size is estimated.
 """
@@ -22,10 +26,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from termloom.session import checkpointed, large
+from termloom.session import checkpointed, delete, large, release, scratch
 
 TAG = regex.compile(r"<[^<>]*>")
 #: What stands between these marks is no text.
@@ -34,12 +38,16 @@ WORD = regex.compile(r"[\p{L}\p{N}]+")
 #: MinHash values a text may cost.
 MAX_HASHES = 1200
 #: Classes of one band value that a task holds; of values with more, each two chunks of so many meet in a task.
-CHUNK = 1024
+CHUNK = 8192
+#: Likely pairs that a task gathers before it puts them out.
+GATHERED = 500_000
 #: Members of a class that are joined under one key.
 MEMBERS = 1000
 #: A sketch: one bit of each of so many MinHash values, in columns of 64.
 LONGS = 8
 BITS, SKETCH = 64 * LONGS, [f"s{k}" for k in range(LONGS)]
+#: Bytes that a band value takes in a shuffle, with number, size and sketch; bytes that a pass may shuffle at least.
+ENTRY, PASS_BYTES = 24 + 8 * LONGS, 64_000_000
 
 
 def plan_bands(threshold: float, recall: float, max_hashes: int = MAX_HASHES) -> tuple[int, int]:
@@ -124,24 +132,28 @@ class MinHash:
         self.a = rng.integers(0, 2**31, n, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
         self.b = rng.integers(0, 2**32, n, dtype=np.uint32)
 
-    def values(self, x: np.ndarray) -> np.ndarray:
-        out = np.full(len(self.a), 0xFFFFFFFF, np.uint32)
-        x = (x >> np.uint64(32)).astype(np.uint32)
-        for at in range(0, len(x), 32):  # what fits in a processor's cache
-            made = np.multiply.outer(x[at : at + 32], self.a)
-            made += self.b
-            np.minimum(out, made.min(axis=0), out=out)
-        return out.astype(np.uint64)
-
-    def sketches_and_bands(self, sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        """A row for each set: its sketch, and its band values."""
-        v = _mix(np.array([self.values(x) for x in sets]).reshape(len(sets), len(self.a)))
-        sketch = np.packbits((v[:, :BITS] & np.uint64(1)).astype(np.uint8), axis=1).view(np.int64)
-        v = v[:, : self.bands * self.rows].reshape(len(sets), self.bands, self.rows)
-        band = np.repeat(np.arange(self.bands, dtype=np.uint64)[None], len(sets), axis=0)
+    def values(self, flat: np.ndarray, starts: np.ndarray, first: int, end: int) -> np.ndarray:
+        """A row for each of the values ``first`` to ``end``, a column for each set; the sets, none empty, begin at ``starts``."""
+        x, out = (flat >> np.uint64(32)).astype(np.uint32), np.empty((end - first, len(starts)), np.uint32)
+        made = np.empty_like(x)
+        for row, a, b in zip(out, self.a[first:end], self.b[first:end]):
+            np.multiply(x, a, out=made)
+            made += b
+            np.minimum.reduceat(made, starts, out=row)
+        return _mix(out.astype(np.uint64))
+
+    def sketches(self, flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """A row for each set."""
+        odd = (self.values(flat, starts, 0, BITS) & np.uint64(1)).astype(np.uint8)
+        return np.packbits(np.ascontiguousarray(odd.T), axis=1).view(np.int64)
+
+    def band_values(self, flat: np.ndarray, starts: np.ndarray, first: int, end: int) -> np.ndarray:
+        """A row for each set: its values of the bands ``first`` to ``end``."""
+        v = self.values(flat, starts, first * self.rows, end * self.rows).reshape(end - first, self.rows, len(starts))
+        band = np.repeat(np.arange(first, end, dtype=np.uint64)[:, None], len(starts), axis=1)
         for k in range(self.rows):
-            band = _mix(band * np.uint64(0x9E3779B97F4A7C15) + v[:, :, k])
-        return sketch, band.view(np.int64)
+            band = _mix(band * np.uint64(0x9E3779B97F4A7C15) + v[:, k])
+        return np.ascontiguousarray(band.T).view(np.int64)
 
 
 def _sets(df: DataFrame, id_col: str, main: str, more: str | None, shingle: int, min_words: int) -> DataFrame:
@@ -164,56 +176,92 @@ def _sets(df: DataFrame, id_col: str, main: str, more: str | None, shingle: int,
     return src.mapInArrow(run, "id string, feats array<bigint>")
 
 
-def classes(df: DataFrame, id_col: str, main: str, more: str | None = None, shingle: int = 5, min_words: int = 1) -> tuple[DataFrame, DataFrame]:
-    """(members: id, class_id) and (sets: class_id, n, feats): records with equal feature sets share a class.
+def linked(df: DataFrame, id_col: str, main: str, more: str | None, shingle: int, min_words: int, threshold: float, recall: float) -> tuple[DataFrame, DataFrame]:
+    """(members: id, class_id, several) and (links: class_a, class_b): records with equal feature sets share a class, and
+    classes with class_a < class_b are linked where the Jaccard similarity of the full sets is >= ``threshold``.
+    ``several`` tells ids with records in several classes.
 
     A class is named by the 128-bit hash of its set, so naming it needs no gathering of its members."""
+    spark = df.sparkSession
+    hasher = MinHash(*plan_bands(threshold, recall))
     name = F.concat(F.hex(F.xxhash64("feats")), F.hex(F.xxhash64(F.reverse("feats"), F.lit(1)))).alias("class_id")
-    sets = _sets(df, id_col, main, more, shingle, min_words).select("id", name, "feats")
-    sets = checkpointed(sets)
-    members = sets.select("id", "class_id").distinct()
-    distinct = sets.groupBy("class_id").agg(F.first("feats").alias("feats")).select("class_id", F.size("feats").alias("n"), "feats")
-    return members, distinct
+
+    def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, flat, starts in _in_parts(batches, 1):
+            sketches = hasher.sketches(flat, starts)
+            yield pa.RecordBatch.from_arrays([*part.columns, *[pa.array(np.ascontiguousarray(sketches[:, k])) for k in range(LONGS)]], names=["class_id", "feats", *SKETCH])
+
+    with scratch(spark, "near_dup") as at:
+        _sets(df, id_col, main, more, shingle, min_words).select("id", name, "feats").write.parquet(f"{at}/records", compression="zstd")
+        records = spark.read.parquet(f"{at}/records")
+        members = records.select("id", "class_id").distinct()
+        members = checkpointed(members.withColumn("several", F.count("*").over(Window.partitionBy("id")) > 1))
+        distinct = records.groupBy("class_id").agg(F.first("feats").alias("feats")).mapInArrow(sketched, f"class_id string, feats array<bigint>, {', '.join(f'{c} bigint' for c in SKETCH)}")
+        distinct.withColumns({"num": F.xxhash64("class_id"), "n": F.size("feats")}).write.parquet(f"{at}/sets", compression="zstd")
+        del records, distinct
+        delete(spark, f"{at}/records")
+        release(spark)
+        links = checkpointed(_similar(spark.read.parquet(f"{at}/sets"), at, hasher, threshold))
+    release(spark)
+    return members, links
+
+
+def _in_parts(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Some rows at a time, with the sets of that column one after the other, and where each begins."""
+    for b in batches:
+        for at in range(0, len(b), 200):
+            part = b.slice(at, 200)
+            lists = part.column(column)
+            ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False), dtype=np.int64)
+            yield part, lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64), np.append(0, ends[:-1])
+
+
+def plan_passes(bands: int, classes: int, features: int) -> list[tuple[int, int]]:
+    """First and end of the bands of each pass: none shuffles much more than ``PASS_BYTES`` or than the sets have."""
+    most = max(PASS_BYTES, 8 * features)
+    n = min(bands, max(1, math.ceil(bands * classes * ENTRY / most)))
+    cuts = [bands * k // n for k in range(n + 1)]
+    return list(zip(cuts, cuts[1:]))
+
+
+def _similar(sets: DataFrame, at: str, hasher: MinHash, threshold: float) -> DataFrame:
+    """(class_a, class_b) of ``sets`` (class_id, num, n, feats and sketch); what is needed meanwhile is written to ``at``."""
+    spark = sets.sparkSession
+    count = sets.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    sketches = sets.select("num", "n", *SKETCH)
+    likely = None
+    for k, (first, end) in enumerate(plan_passes(hasher.bands, *count)):
+        _meet(_banded(sets, hasher, first, end), threshold).write.parquet(f"{at}/met{k}", compression="zstd")
+        met = spark.read.parquet(f"{at}/met{k}")
+        pairs = met.where("hot_band is null").select("num_a", "num_b")
+        hot = met.where("hot_band is not null").select("hot_band", "num_a")
+        if not hot.isEmpty():  # else its joins needn't be planned
+            pairs = pairs.unionByName(_meet_hot(hot, sketches, threshold))
+        if k:
+            pairs = pairs.unionByName(likely)
+        pairs.distinct().write.parquet(f"{at}/likely{k}", compression="zstd")
+        likely = spark.read.parquet(f"{at}/likely{k}")
+        del met, pairs, hot
+        delete(spark, f"{at}/met{k}", f"{at}/likely{k - 1}")
+        release(spark)
+    full = lambda s: sets.select(F.col("num").alias(f"num_{s}"), F.col("class_id").alias(f"name_{s}"), F.col("n").alias(f"size_{s}"), F.col("feats").alias(f"feats_{s}"))
+    both = large(large(likely).join(full("a"), "num_a")).join(full("b"), "num_b").withColumn("common", F.size(F.array_intersect("feats_a", "feats_b")))
+    similarity = F.col("common") / (F.col("size_a") + F.col("size_b") - F.col("common"))
+    return both.where(similarity >= threshold).select(F.least("name_a", "name_b").alias("class_a"), F.greatest("name_a", "name_b").alias("class_b"))
 
 
-def similar_classes(sets: DataFrame, threshold: float, recall: float = 0.999) -> DataFrame:
-    """(class_a, class_b, similarity) with class_a < class_b and Jaccard similarity of the full sets >= ``threshold``."""
-    bands, rows = plan_bands(threshold, recall)
-    hasher = MinHash(bands, rows)
+def _banded(sets: DataFrame, hasher: MinHash, first: int, end: int) -> DataFrame:
+    """(band, num, n and sketch) of each class and each of the bands ``first`` to ``end``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for at in range(0, len(b), 200):
-                part = b.slice(at, 200)
-                lists = part.column(2)
-                flat, ends = lists.flatten().to_numpy(zero_copy_only=False).view(np.uint64), np.cumsum([0, *lists.value_lengths().to_pylist()])
-                sketches, values = hasher.sketches_and_bands([flat[ends[i] : ends[i + 1]] for i in range(len(part))])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), *[pa.array(np.ascontiguousarray(sketches[:, k])) for k in range(LONGS)], pa.ListArray.from_arrays(pa.array(np.arange(0, values.size + 1, bands, dtype=np.int32)), pa.array(values.ravel()))],
-                    names=["class_id", "n", *SKETCH, "bands"],
-                )
-
-    hashed = sets.select("class_id", "n", "feats").mapInArrow(run, f"class_id string, n int, {', '.join(f'{c} bigint' for c in SKETCH)}, bands array<bigint>")
-    hashed = checkpointed(hashed.withColumn("num", F.xxhash64("class_id")))
-    sketches = hashed.select("num", "n", *SKETCH)
-    met = checkpointed(_meet(hashed.select(F.explode("bands").alias("band"), "num", "n"), threshold))
+        for part, flat, starts in _in_parts(batches, 0):
+            values = hasher.band_values(flat, starts, first, end)
+            ends = pa.array(np.arange(0, values.size + 1, end - first, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(ends, pa.array(values.ravel())), *part.columns[1:]], names=["bands", "num", "n", *SKETCH])
 
-    least = _least_bits(threshold)
-    bits = sum((F.bit_count(F.col(f"a_{c}").bitwiseXOR(F.col(f"b_{c}"))) for c in SKETCH), F.lit(0))
-    # by the first class, then distinct: the join with its sketch finds the pairs where they are
-    pairs = met.where("hot_band is null").select("num_a", "num_b").repartition("num_a").distinct()
-    for s in "ab":
-        pairs = large(pairs).join(sketches.select(F.col("num").alias(f"num_{s}"), *[F.col(c).alias(f"{s}_{c}") for c in SKETCH]), f"num_{s}")
-    likely = pairs.where(BITS - bits >= least).select("num_a", "num_b")
-    hot = met.where("hot_band is not null").select("hot_band", "num_a")
-    if not hot.isEmpty():  # else its joins needn't be planned
-        likely = likely.unionByName(_meet_hot(hot, sketches, threshold)).distinct()
-    named = sets.withColumn("num", F.xxhash64("class_id"))
-    full = lambda s: named.select(F.col("num").alias(f"num_{s}"), F.col("class_id").alias(f"name_{s}"), F.col("n").alias(f"size_{s}"), F.col("feats").alias(f"feats_{s}"))
-    both = large(large(likely).join(full("a"), "num_a")).join(full("b"), "num_b").withColumn("common", F.size(F.array_intersect("feats_a", "feats_b")))
-    both = both.select("*", F.least("name_a", "name_b").alias("class_a"), F.greatest("name_a", "name_b").alias("class_b"))
-    similarity = F.col("common") / (F.col("size_a") + F.col("size_b") - F.col("common"))
-    return both.select("class_a", "class_b", similarity.alias("similarity")).where(F.col("similarity") >= threshold)
+    longs = ", ".join(f"{c} bigint" for c in SKETCH)
+    hashed = sets.select("feats", "num", "n", *SKETCH).mapInArrow(run, f"bands array<bigint>, num bigint, n int, {longs}")
+    return hashed.select(F.explode("bands").alias("band"), "num", "n", *SKETCH)
 
 
 def _least_bits(threshold: float) -> float:
@@ -226,16 +274,20 @@ _MET = "num_a bigint, num_b bigint, hot_band bigint"
 
 
 def _meet(banded: DataFrame, threshold: float) -> DataFrame:
-    """(num_a, num_b) of classes that share a band value and whose sizes allow the threshold, repeated for each such value;
-    of values with more than ``CHUNK`` classes, (num_a, hot_band) for each class instead.
+    """(num_a, num_b) of classes that share a band value and whose sizes, and sketches if there are any, allow the threshold,
+    repeated for such values; of values with more than ``CHUNK`` classes, (num_a, hot_band) for each class instead.
 
     The one shuffle of band values; each task reads its values in order and holds at most ``CHUNK`` classes."""
+    sketch = [c for c in SKETCH if c in banded.columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = tuple(np.empty(0, np.int64) for _ in range(3))  # the classes of the last value, which may go on
+        # the classes of the last value, which may go on
+        kept = *(np.empty(0, np.int64) for _ in range(3)), np.empty((0, len(sketch)), np.int64)
         hot = None
         for b in batches:
-            band, num, n = (np.concatenate([k, b.column(c).to_numpy()]) for c, k in enumerate(kept))
+            band, num, n = (np.concatenate([k, b.column(c).to_numpy()]) for c, k in enumerate(kept[:3]))
+            own = np.stack([b.column(c).to_numpy() for c in sketch], axis=1) if sketch else np.empty((len(b), 0), np.int64)
+            bits = np.concatenate([kept[3], own])
             if len(band) == 0:
                 continue
             starts = np.flatnonzero(np.append(True, band[1:] != band[:-1]))
@@ -249,14 +301,14 @@ def _meet(banded: DataFrame, threshold: float) -> DataFrame:
                 hot, last = band[-1], len(band)
             else:
                 last = starts[-1]
-            kept = band[last:], num[last:], n[last:]
+            kept = band[last:], num[last:], n[last:], bits[last:]
             hot_rows = np.repeat(is_hot, counts)[:last]
             yield from _met(num[:last][hot_rows], None, band[:last][hot_rows])
             cool = ~hot_rows
-            yield from _pairs_of(band[:last][cool], num[:last][cool], n[:last][cool], threshold)
+            yield from _pairs_of(band[:last][cool], num[:last][cool], n[:last][cool], bits[:last][cool], threshold)
         yield from _pairs_of(*kept, threshold)
 
-    return banded.repartition("band").sortWithinPartitions("band", "n").mapInArrow(run, _MET)
+    return banded.select("band", "num", "n", *sketch).repartition("band").sortWithinPartitions("band", "n").mapInArrow(run, _MET)
 
 
 def _met(a: np.ndarray, b: np.ndarray | None, hot: np.ndarray | None) -> Iterator[pa.RecordBatch]:
@@ -265,20 +317,32 @@ def _met(a: np.ndarray, b: np.ndarray | None, hot: np.ndarray | None) -> Iterato
         yield pa.RecordBatch.from_arrays([pa.array(a), none if b is None else pa.array(b), none if hot is None else pa.array(hot)], names=["num_a", "num_b", "hot_band"])
 
 
-def _pairs_of(band: np.ndarray, num: np.ndarray, n: np.ndarray, threshold: float) -> Iterator[pa.RecordBatch]:
+def _pairs_of(band: np.ndarray, num: np.ndarray, n: np.ndarray, bits: np.ndarray, threshold: float) -> Iterator[pa.RecordBatch]:
     """The pairs within each band value; rows are in the order of value and size."""
-    left, d, found = np.arange(len(band) - 1), 1, []
+    left, d, found, least = np.arange(len(band) - 1), 1, [], _least_bits(threshold)
+    bits = bits.view(np.uint64)
     while len(left):
         left = left[: np.searchsorted(left, len(band) - d)]
         left = left[(band[left] == band[left + d]) & (n[left] >= threshold * n[left + d])]  # sizes only grow apart
-        a, b = num[left], num[left + d]
+        likely = left
+        if bits.shape[1]:
+            likely = left[BITS - np.bitwise_count(bits[left] ^ bits[left + d]).sum(axis=1, dtype=np.int32) >= least]
+        a, b = num[likely], num[likely + d]
         found.append((np.minimum(a, b), np.maximum(a, b)))
         d += 1
+        if d % 64 == 0 and sum(len(x) for x, _ in found) > GATHERED:
+            yield from _once(found)
+            found = []
     if found:
-        pairs = np.stack([np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])])
-        pairs = pairs[:, np.lexsort(pairs)]
-        first = np.append(True, (pairs[:, 1:] != pairs[:, :-1]).any(axis=0))[: pairs.shape[1]] & (pairs[0] != pairs[1])
-        yield from _met(pairs[0][first], pairs[1][first], None)
+        yield from _once(found)
+
+
+def _once(found: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Each of the pairs once, without those of a class and itself."""
+    pairs = np.stack([np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])])
+    pairs = pairs[:, np.lexsort(pairs)]
+    first = np.append(True, (pairs[:, 1:] != pairs[:, :-1]).any(axis=0))[: pairs.shape[1]] & (pairs[0] != pairs[1])
+    yield from _met(pairs[0][first], pairs[1][first], None)
 
 
 def _meet_hot(hot: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
@@ -299,8 +363,9 @@ def _meet_hot(hot: DataFrame, sketches: DataFrame, threshold: float) -> DataFram
             """The rows of one pair of chunks: two chunks of some ``CHUNK`` rows each."""
             x = np.concatenate(parts)
             x = x[np.argsort(x[:, 5], kind="stable")]
-            for at in range(0, len(x), 64):
-                own, end = x[at : at + 64], np.searchsorted(x[:, 5], x[at : at + 64][-1, 5] / threshold + 1, "right")
+            step = max(1, 2**17 // len(x))
+            for at in range(0, len(x), step):
+                own, end = x[at : at + step], np.searchsorted(x[:, 5], x[at : at + step][-1, 5] / threshold + 1, "right")
                 other = x[at + 1 : end]
                 same = BITS - np.bitwise_count((own[:, None, 6:] ^ other[None, :, 6:]).view(np.uint64)).sum(axis=2, dtype=np.int32)
                 fits = (same >= least) & (own[:, None, 5] >= threshold * other[None, :, 5]) & (np.arange(len(own))[:, None] <= np.arange(len(other))[None, :])
@@ -339,32 +404,40 @@ def near_duplicate_pairs(df: DataFrame, id_col: str, main: str, more: str | None
     a large class come in chunks, and each two chunks meet under a key of their own.  An id with several different texts
     is alike where any of them is.  Records with a null id, or whose ``main`` is null, empty or has fewer than
     ``min_words`` words, are in no pair; ``more`` may be null."""
-    members, sets = classes(df, id_col, main, more, shingle, min_words)
-    links = similar_classes(sets, threshold, recall).select("class_a", "class_b")
+    members, links = linked(df, id_col, main, more, shingle, min_words, threshold, recall)
     sizes = members.groupBy("class_id").agg(F.count("*").alias("m")).where("m > 1")
     sides = links.select("class_a", "class_b", F.lit(True).alias("two")).unionByName(sizes.select(F.col("class_id").alias("class_a"), F.col("class_id").alias("class_b"), F.lit(False).alias("two")))
     key, in_parts = ["class_id"], sizes.where(F.col("m") > MEMBERS).select("class_id", F.ceil(F.col("m") / MEMBERS).cast("int").alias("parts"))
+    once = F.col("two") | (F.col("id_a") < F.col("id_b"))
     if not in_parts.isEmpty():
         key = ["class_id", "part"]
         of = lambda c: F.coalesce(F.col(c), F.lit(1))
-        members = large(members).join(in_parts, "class_id", "left").select("id", "class_id", F.pmod(F.xxhash64("id"), of("parts")).cast("int").alias("part"))
+        members = large(members).join(in_parts, "class_id", "left").select("id", "class_id", "several", F.pmod(F.xxhash64("id"), of("parts")).cast("int").alias("part"))
         for s in "ab":
             sides = large(sides).join(in_parts.select(F.col("class_id").alias(f"class_{s}"), F.col("parts").alias(f"parts_{s}")), f"class_{s}", "left")
             sides = sides.withColumn(f"part_{s}", F.explode(F.sequence(F.lit(0), of(f"parts_{s}") - 1)))
         sides = sides.where(F.col("two") | (F.col("part_a") <= F.col("part_b")))
+        once |= F.col("part_a") < F.col("part_b")
     column = {"class_id": "class", "part": "part"}
-    for s in "ab":
-        own = members.select(*[F.col(k).alias(f"{column[k]}_{s}") for k in key], F.col("id").alias(f"id_{s}"))
-        sides = large(sides).join(own, [f"{column[k]}_{s}" for k in key])
-    return sides.where(F.col("id_a") != F.col("id_b")).select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b")).distinct()
+
+    def expanded(a: DataFrame, b: DataFrame) -> DataFrame:
+        pairs = sides
+        for s, own in (("a", a), ("b", b)):
+            pairs = large(pairs).join(own.select(*[F.col(k).alias(f"{column[k]}_{s}") for k in key], F.col("id").alias(f"id_{s}")), [f"{column[k]}_{s}" for k in key])
+        return pairs.where(once & (F.col("id_a") != F.col("id_b"))).select(F.least("id_a", "id_b").alias("id_a"), F.greatest("id_a", "id_b").alias("id_b"))
+
+    several, one = members.where("several"), members.where("not several")
+    pairs = expanded(one, one)  # ids of one class each meet once, and the result, which may be large, isn't shuffled
+    if several.isEmpty():
+        return pairs
+    return pairs.unionByName(expanded(several, members).unionByName(expanded(one, several)).distinct())
 
 
 def near_duplicate_groups(df: DataFrame, id_col: str, main: str, more: str | None = None, shingle: int = 5, min_words: int = 1, threshold: float = 0.8, recall: float = 0.999) -> DataFrame:
     """(id, class_id, first_id, class_size, n_links): a row for each id and class, the smallest id and the number of the ids
     with that very set, and the number of other classes at least ``threshold`` alike.  Copies aren't expanded.  Nulls and
     short texts as above."""
-    members, sets = classes(df, id_col, main, more, shingle, min_words)
-    links = similar_classes(sets, threshold, recall)
+    members, links = linked(df, id_col, main, more, shingle, min_words, threshold, recall)
     degree = links.select(F.explode(F.array("class_a", "class_b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("n_links"))
     size = members.groupBy("class_id").agg(F.count("*").alias("class_size"), F.min("id").alias("first_id"))
     about = large(size).join(degree, "class_id", "left")

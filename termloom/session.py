@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
+import time
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -59,10 +61,25 @@ def scratch(spark: SparkSession, name: str) -> Iterator[str]:
     try:
         yield path
     finally:
+        delete(spark, path)
+
+
+def delete(spark: SparkSession, *paths: str) -> None:
+    """Deletes these folders of the shared file system, where they exist."""
+    for path in paths:
         p = spark._jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets go of the shuffle files of plans that no one holds any more.  Spark deletes them when the driver's garbage is
+    collected, which may be long after, while the next step fills the disk."""
+    for _ in range(2):  # what ended just now may still be told to listeners when the first one begins
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.1)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows of ``df``, written once to the checkpoint folder that all executors share, so that a lost executor costs
     no recomputation and two readers cost one run."""

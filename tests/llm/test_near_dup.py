@@ -1,9 +1,12 @@
 import os
 import random
+import time
 
+import numpy as np
 import pytest
 
 from termloom.llm import near_dup
+from termloom.session import shared_folder
 
 SCHEMA = "id string, body string, title string"
 
@@ -77,6 +80,53 @@ def test_band_values_that_fill_several_batches(spark):
     assert {(r.num_a, r.num_b) for r in met if r.hot_band is None} == {(0, 1), (0, 8), (1, 8)}
 
 
+def test_candidates_are_compared_where_they_meet(spark):
+    """What unlike classes share in a band is not written; their number grows as the square of the data."""
+    rng = np.random.default_rng(1)
+    sketches = rng.integers(-(2**63), 2**63, (300, near_dup.LONGS))
+    sketches[7] = sketches[200]
+    rows = spark.createDataFrame([(1, k, 10, *map(int, x)) for k, x in enumerate(sketches)], f"band long, num long, n int, {', '.join(f'{c} long' for c in near_dup.SKETCH)}")
+    assert [(r.num_a, r.num_b) for r in near_dup._meet(rows, 0.6).collect()] == [(7, 200)]
+
+
+def test_passes_have_all_bands_and_few_bytes():
+    for bands, classes, features in ((145, 0, 0), (145, 58_000, 5_600_000), (145, 9_000_000, 900_000_000), (3, 10**9, 10**9)):
+        passes = near_dup.plan_passes(bands, classes, features)
+        assert [k for first, end in passes for k in range(first, end)] == [*range(bands)]
+        most = max(near_dup.PASS_BYTES, 8 * features) + classes * near_dup.ENTRY
+        assert all((end - first) * classes * near_dup.ENTRY <= most for first, end in passes)
+
+
+def test_no_files_of_a_pass_outlive_the_next(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "plan_passes", lambda bands, *_: [(0, 1), (1, bands // 2), (bands // 2, bands)])
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {f for f in map(str, (x.getName() for x in spark._jvm.scala.jdk.CollectionConverters.SeqHasAsJava(disk.getAllFiles()).asJava())) if f.startswith("shuffle")}
+    release, before, left = near_dup.release, shuffled(), []
+
+    def released(spark):
+        release(spark)
+        until = time.time() + 2
+        while (new := shuffled() - before) and time.time() < until:
+            time.sleep(0.2)
+            release(spark)
+        left.append(new)
+
+    monkeypatch.setattr(near_dup, "release", released)
+    rows = corpus(30)
+    out = near_dup.near_duplicate_pairs(spark.createDataFrame(rows, SCHEMA), "id", "body", "title", threshold=0.6, shingle=1, recall=0.9999)
+    assert len(left) == 5 and not any(x & y for x, y in zip(left, left[1:]))
+    assert {tuple(r) for r in out.collect()} == brute(rows, 0.6, 1, 1)
+    folder = shared_folder(spark)
+    assert not [x for x in os.listdir(folder) if x.startswith("near_dup")]
+
+
+def test_ids_with_several_texts_come_out_once(spark):
+    text = " ".join(f"w{k}" for k in range(30))
+    rows = [("1", text, None), ("1", text + " more", None), ("2", text, None), ("2", text + " less", None), ("3", text, None), ("4", text, None)]
+    got = near_dup.near_duplicate_pairs(spark.createDataFrame(rows, SCHEMA), "id", "body", "title", shingle=1).collect()
+    assert sorted(map(tuple, got)) == [(a, b) for a in "1234" for b in "1234" if a < b]
+
+
 def test_nothing_that_grows_is_broadcast(spark):
     df = spark.createDataFrame(corpus(20), SCHEMA)
     for make in (near_dup.near_duplicate_pairs, near_dup.near_duplicate_groups):
